@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkclaims.bindings.registry import query
-from sparkclaims.bindings.tables import TIE, TIE_SQL, Tables
+from sparkclaims.bindings.tables import TIE, TIE_SQL, Tables, claim_id
 from sparkclaims.operators.summary import refresh_incremental, write_summary
 from sparkclaims.plans import dashboards, reports
 from sparkclaims.plans.star import ClaimStar
@@ -74,7 +74,11 @@ def fraud_by_category(t: Tables):
                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
 )
 def running_fraud(t: Tables):
-    return reports.running_fraud(t.claims, TIE)
+    rows = reports.running_fraud(t.claims, TIE, keep=TIE)
+    return rows.withColumn("claim_id", claim_id()).select(
+        "claim_id", "claim_type", "claim_date", "fraud_flag", "fraud_score",
+        "running_fraud_count", "running_fraud_score_avg",
+    )
 
 
 @query(
@@ -156,7 +160,11 @@ def next_month_lead(t: Tables):
          claimed_amount, claim_date ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)""",
 )
 def fraud_percentile(t: Tables):
-    return reports.fraud_percentile(t.star, TIE)
+    rows = reports.fraud_percentile(t.star, TIE, keep=TIE)
+    return rows.withColumn("claim_id", claim_id()).select(
+        "claim_id", "claimed_amount", "fraud_score", "status", "policy_type_name",
+        "fraud_percentile", "rolling_avg_fraud_score",
+    )
 
 
 @query(
@@ -165,7 +173,8 @@ def fraud_percentile(t: Tables):
          ntile(4) OVER (ORDER BY fraud_score DESC, {TIE_SQL}) AS risk_quartile FROM claims""",
 )
 def risk_quartile(t: Tables):
-    return reports.risk_quartile(t.claims, TIE)
+    rows = reports.risk_quartile(t.claims, TIE, keep=TIE)
+    return rows.withColumn("claim_id", claim_id()).select("claim_id", "fraud_score", "risk_quartile")
 
 
 @query(

@@ -13,7 +13,7 @@ from sparkclaims.bindings.tables import TIE, Tables
 from sparkclaims.operators import semistructured as docs
 from sparkclaims.schemas import BOOLEAN, DATE, DOUBLE, INT, MONEY, STRING, table
 from sparkclaims.sources import readers, writers
-from sparkclaims.storage import scratch_path
+from sparkclaims.storage import scratch_path, spread
 
 LONG = T.LongType()
 POLICY_ROWS = table(
@@ -41,7 +41,7 @@ def documents(t: Tables) -> DataFrame:
             F.when(line >= 6, F.lit("repeat_claimant")),
         )
     )
-    return t.claims.select(
+    return spread(t.claims).select(
         "claim_id",
         "line_no",
         docs.build_document(
@@ -52,6 +52,14 @@ def documents(t: Tables) -> DataFrame:
     )
 
 
+def stored_documents(t: Tables) -> DataFrame:
+    """The table of claims as variants, loaded once per application."""
+    return t.loaded(
+        "claim_documents",
+        lambda: docs.parse_variant(documents(t), F.col("document")).select("claim_id", "raw_json"),
+    )
+
+
 def write_arrays(texts: DataFrame, column: str, path: str) -> None:
     """Files of one JSON array each, with at most ``ARRAY_ROWS`` elements."""
     numbered = texts.withColumn(
@@ -118,7 +126,7 @@ def _dialect_lines(t: Tables) -> DataFrame:
 def _copy_into(t: Tables):
     path = scratch_path(t.spark, "copy_into")
     header = ",".join(CLAIM_ROWS.names)
-    # One header per file: each file starts with the line that sorts first in it.
+    # Plain text with a header per file: the lines bring their own quotes and commas.
     lines = _dialect_lines(t)
     lines.withColumnRenamed("value", header).write.options(
         header=True, quote="", escape="", emptyValue="", quoteAll=False, sep="\u0001"
@@ -186,7 +194,10 @@ def load_variant_array(t: Tables):
     )
 
 
-@query("scan_parquet_field", "SELECT l_shipdate AS shipped, l_quantity AS quantity FROM lineitem".replace("l_shipdate", "CAST(CAST(l_shipdate AS DATE) AS VARCHAR)"))
+@query(
+    "scan_parquet_field",
+    "SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS shipped, l_quantity AS quantity FROM lineitem",
+)
 def scan_parquet_field(t: Tables):
     fields = readers.read_parquet_field(t.spark, f"{t.folder}/lineitem.parquet", "l_shipdate", "l_quantity")
     return fields.select(
@@ -318,8 +329,7 @@ def json_build(t: Tables):
          CAST(approved_amount AS DOUBLE) AS approved_amount FROM claims""",
 )
 def json_extract(t: Tables):
-    parsed = docs.parse_variant(documents(t), F.col("document"))
-    return docs.extract_paths(parsed, "raw_json", docs.CLAIM_PATHS, ["claim_id"])
+    return docs.extract_paths(stored_documents(t), "raw_json", docs.CLAIM_PATHS, ["claim_id"])
 
 
 @query(
@@ -329,9 +339,8 @@ def json_extract(t: Tables):
              FROM claims WHERE fraud_flag)""",
 )
 def json_flatten(t: Tables):
-    parsed = docs.parse_variant(documents(t).select("claim_id", "document"), F.col("document"))
     fields = {name: docs.CLAIM_PATHS[name] for name in ("is_fraud", "fraud_score")}
-    typed = docs.extract_paths(parsed, "raw_json", fields, ["claim_id", "raw_json"])
+    typed = docs.extract_paths(stored_documents(t), "raw_json", fields, ["claim_id", "raw_json"])
     flagged = typed.filter("is_fraud")
     return docs.flatten_flags(
         flagged, "raw_json", ["claim_id", "fraud_score"], "fraud_indicator_flag"

@@ -35,7 +35,7 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def _loaded(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def loaded(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.folder, name)
         if key not in _dimensions:
             _dimensions[key] = materialize(build(), name)
@@ -46,10 +46,6 @@ class Tables:
         claimed = F.col("l_extendedprice").cast("decimal(15,2)")
         day = F.col("l_shipdate").cast("date")
         return self.raw("lineitem").select(
-            F.concat_ws(
-                "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                claimed.cast("string"), day.cast("string"),
-            ).alias("claim_id"),
             F.col("l_orderkey").alias("policy_id"),
             F.col("l_linenumber").alias("line_no"),
             F.col("l_partkey").alias("part_id"),
@@ -63,7 +59,7 @@ class Tables:
             (F.col("l_returnflag") == "R").alias("fraud_flag"),
             (F.col("l_discount") * 10).cast("decimal(6,4)").alias("fraud_score"),
             F.col("l_quantity").cast("int").alias("processing_days"),
-        )
+        ).withColumn("claim_id", claim_id())
 
     @property
     def policies(self) -> DataFrame:
@@ -102,7 +98,7 @@ class Tables:
 
     @property
     def customers(self) -> DataFrame:
-        return self._loaded(
+        return self.loaded(
             "customers",
             lambda: fill_unknown(with_bands(self.raw_customers), ["gender", "marital_status"])
             .withColumn("full_name", full_name(F.col("first_name"), F.col("last_name"))),
@@ -115,7 +111,7 @@ class Tables:
         places = self.raw("nation").join(
             self.raw("region"), F.col("n_regionkey") == F.col("r_regionkey")
         ).select(F.col("n_nationkey").alias("s_nationkey"), "n_name", "r_name")
-        return self._loaded(
+        return self.loaded(
             "agents",
             lambda: self.raw("supplier").join(places, "s_nationkey").select(
                 key.alias("agent_id"),
@@ -130,7 +126,7 @@ class Tables:
     @property
     def policy_types(self) -> DataFrame:
         kind = F.col("policy_type_id")
-        return self._loaded(
+        return self.loaded(
             "policy_types",
             lambda: self.policies.select(kind).distinct().select(
                 kind,
@@ -144,7 +140,7 @@ class Tables:
 
     @property
     def dates(self) -> DataFrame:
-        return self._loaded(
+        return self.loaded(
             "dates",
             lambda: date_dimension(
                 self.claims.agg(F.min("claim_date").alias("d0"), F.max("claim_date").alias("d1")),
@@ -176,6 +172,11 @@ class Tables:
         )
 
 
+def claim_id() -> Column:
+    """The identity of a claim as text, from the columns of ``TIE``."""
+    return F.concat_ws("-", *[F.col(name).cast("string") for name in TIE])
+
+
 def claim_status(number: Column) -> Column:
     return (
         F.when(number == 0, "Approved")

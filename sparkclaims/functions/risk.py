@@ -33,10 +33,15 @@ def flag_count(flag: Column) -> Column:
     return F.when(flag.cast("boolean"), 1).otherwise(0).cast("long")
 
 
+def round_half_even(value: Column, digits: int) -> Column:
+    """A double rounded as NumPy does: scale, round to even, scale back."""
+    return F.rint(value * float(10**digits)) / float(10**digits)
+
+
 def payout_ratio(approved: Column, claimed: Column) -> Column:
     """approved / claimed at 4 places (half-even), 0 unless claimed is positive."""
     ratio = approved.cast("double") / F.nullif(claimed.cast("double"), F.lit(0.0))
-    return F.bround(F.when(claimed > 0, ratio).otherwise(F.lit(0.0)), 4)
+    return round_half_even(F.when(claimed > 0, ratio).otherwise(F.lit(0.0)), 4)
 
 
 def rejected_amount(claimed: Column, approved: Column) -> Column:
@@ -53,7 +58,7 @@ def max_normalized_risk(
     """
     amount = claimed.cast("double") / F.nullif(max_claimed.cast("double"), F.lit(0.0))
     duration = days.cast("double") / F.nullif(max_days.cast("double"), F.lit(0.0))
-    return F.bround(
+    return round_half_even(
         score.cast("double") * FRAUD_WEIGHT + amount * AMOUNT_WEIGHT + duration * DAYS_WEIGHT, 4
     )
 

@@ -8,21 +8,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkclaims.operators.joins import join_null_safe
-from sparkclaims.operators.positions import SMALL_ROWS, value_counts
+from sparkclaims.operators.positions import (
+    SMALL_ROWS,
+    cumulative_counts,
+    group_totals,
+    value_counts,
+)
 from sparkclaims.storage import materialize
 
 
-def _quantiles_of(ranked: DataFrame, group: Sequence[str], probs: dict[str, float]) -> DataFrame:
+def _counted(
+    df: DataFrame, group: Sequence[str], value: str, small_rows: int
+) -> tuple[DataFrame, bool]:
+    known = df.filter(F.col(value).isNotNull()).select(*group, F.col(value).alias("_value"))
+    return value_counts(known, group, "_value", small_rows)
+
+
+def _quantiles_of(
+    counts: DataFrame, small: bool, group: Sequence[str], probs: dict[str, float]
+) -> DataFrame:
     """Linear-interpolated quantiles from counts per value (numbered from 0)."""
-    totals = materialize(ranked.groupBy(*group).agg(F.max("_upto").alias("n")), "totals")
-    counts = join_null_safe(ranked, totals, group, "inner")
+    totals = group_totals(counts, group, "n")
+    ranked = join_null_safe(
+        cumulative_counts(counts, group, "_value", small), totals, group, "inner"
+    )
     first, last = F.col("_upto") - F.col("_count"), F.col("_upto") - 1
 
     def value_at(rank: Column) -> Column:
-        return F.max(F.when((first <= rank) & (rank <= last), F.col("_value")))
+        return F.max(F.when((first <= rank) & (rank <= last), F.col("_value").cast("double")))
 
     places = {name: (F.col("n") - 1) * F.lit(p) for name, p in probs.items()}
-    picked = counts.groupBy(*group, "n").agg(
+    picked = ranked.groupBy(*group, "n").agg(
         *[value_at(F.floor(place)).alias(f"_low_{name}") for name, place in places.items()],
         *[value_at(F.ceil(place)).alias(f"_high_{name}") for name, place in places.items()],
     )
@@ -39,14 +55,6 @@ def _quantiles_of(ranked: DataFrame, group: Sequence[str], probs: dict[str, floa
     )
 
 
-def _counted(
-    df: DataFrame, group: Sequence[str], value: str, small_rows: int
-) -> DataFrame:
-    known = df.filter(F.col(value).isNotNull()).select(*group, F.col(value).alias("_value"))
-    ranked, _ = value_counts(known, group, "_value", small_rows)
-    return ranked.withColumn("_value", F.col("_value").cast("double"))
-
-
 def exact_quantiles(
     df: DataFrame,
     group: Sequence[str],
@@ -59,7 +67,7 @@ def exact_quantiles(
     No task holds a group: equal values collapse map-side, and the running
     counts come from sorted blocks.
     """
-    return _quantiles_of(_counted(df, group, value, small_rows), group, probs)
+    return _quantiles_of(*_counted(df, group, value, small_rows), group, probs)
 
 
 def box_stats(
@@ -74,12 +82,11 @@ def box_stats(
     A whisker ends at the most extreme value within ``whisker`` times the
     interquartile range, and never inside the box.
     """
-    counts = _counted(df, group, value, small_rows)
-    boxes = materialize(
-        _quantiles_of(counts, group, {"q1": 0.25, "median": 0.5, "q3": 0.75}), "boxes"
-    )
+    counts, small = _counted(df, group, value, small_rows)
+    quartiles = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    boxes = materialize(_quantiles_of(counts, small, group, quartiles), "boxes")
     reach = (F.col("q3") - F.col("q1")) * whisker
-    v = F.col("_value")
+    v = F.col("_value").cast("double")
     below, above = v < F.col("q1") - reach, v > F.col("q3") + reach
     return (
         join_null_safe(counts, boxes, group, "inner")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -61,21 +61,21 @@ def unique_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return checked.select(*keys, "_row.*").select(*df.columns)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The most frequent keys (null included) with over ``hot_rows`` rows.
+def hot_keys(frequencies: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The most frequent keys (null included) with over ``hot_rows`` rows, from
+    a table of keys and ``_rows``.
 
     Holds at most ``HOT_KEYS`` rows. They are collected once, so that both
     sides of a join see the same list.
     """
     top = (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("_rows"))
+        frequencies
         .filter(F.col("_rows") > hot_rows)
         .orderBy(F.desc("_rows"), *keys)
         .limit(HOT_KEYS)
         .select(*keys)
     )
-    return df.sparkSession.createDataFrame(top.collect(), top.schema)
+    return frequencies.sparkSession.createDataFrame(top.collect(), top.schema)
 
 
 def skew_join(
@@ -85,6 +85,7 @@ def skew_join(
     how: str = "left",
     null_safe: bool = False,
     residual: Column | None = None,
+    frequencies: Callable[[], DataFrame] | None = None,
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
     may_broadcast: bool = True,
@@ -94,7 +95,8 @@ def skew_join(
     A right side within the broadcast threshold is left to Catalyst. Beyond
     it, the rows of hot keys are spread over ``salts`` sub-keys, and only the
     right rows of those keys are repeated. ``residual`` is a further condition
-    on the columns of both sides.
+    on the columns of both sides. ``frequencies`` gives keys and ``_rows``; it spares a
+    left side that is itself a join from being run to find the hot keys.
     """
     if how not in ("left", "inner"):
         raise ValueError("only left and inner joins can be salted on the left")
@@ -104,7 +106,11 @@ def skew_join(
 
     if may_broadcast and fits_broadcast(right):
         return join(left, right, [*keys])
-    hot = hot_keys(left, keys, hot_rows)
+    if frequencies is None:
+        counted = left.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    else:
+        counted = frequencies()
+    hot = hot_keys(counted, keys, hot_rows)
     if hot.isEmpty():
         return join(left, right, [*keys])
     flagged = F.broadcast(hot.withColumn("_hot", F.lit(True)))

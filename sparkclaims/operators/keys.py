@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkclaims.operators.joins import skew_join
+from sparkclaims.operators.joins import skew_join, unique_by
 
 UNMATCHED = -1
 
@@ -17,15 +17,17 @@ def resolve_key(
     surrogate: str,
     day: str | None = None,
 ) -> DataFrame:
-    """Adds the surrogate key of ``natural``; -1 where there is none.
+    """Adds the surrogate key of ``natural``; -1 where there is none. A natural
+    key with two surrogate keys raises.
 
     With ``day`` the dimension is a history: the row valid on that day counts,
     from ``eff_start_date`` to ``eff_end_date`` inclusive. The periods of a key
     are disjoint, so no fact row is repeated.
     """
-    slim = dimension.select(natural, F.col(surrogate).alias("_key"))
     residual = None
-    if day is not None:
+    if day is None:
+        slim = unique_by(dimension.select(natural, F.col(surrogate).alias("_key")), [natural])
+    else:
         slim = dimension.select(
             natural,
             F.col(surrogate).alias("_key"),

@@ -42,6 +42,13 @@ def ordered_blocks(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     )
 
 
+def one_partition_per_block(blocks: DataFrame) -> DataFrame:
+    """The same rows, each block in a partition of its own, which a window by
+    block accepts as it is. Hashing would put several blocks in one task."""
+    last = blocks.agg(F.max(BLOCK)).first()[0]
+    return blocks.repartitionById((last or 0) + 1, F.col(BLOCK).cast("int"))
+
+
 def _with_start(blocks: DataFrame) -> DataFrame:
     """Adds ``_position`` (1-based, global) and ``_total`` (rows in all).
 
@@ -115,7 +122,7 @@ def running_sums(
     local = Window.partitionBy(BLOCK, *group).orderBy(INDEX).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    inside = blocks.withColumns(
+    inside = one_partition_per_block(blocks).withColumns(
         {f"_local_{name}": F.sum(f"_in_{name}").over(local) for name in sums}
     )
     joined = join_null_safe(inside, F.broadcast(carried), [BLOCK, *group], "left")
@@ -171,8 +178,8 @@ def moving_sums(
 def value_counts(
     df: DataFrame, group: Sequence[str], value: str, small_rows: int = SMALL_ROWS
 ) -> tuple[DataFrame, bool]:
-    """Per group and value: ``_count`` and ``_upto``, the rows of the group with
-    a value up to it; and whether the table is small enough to broadcast.
+    """``_count`` per group and value, written once, and whether the table is
+    small enough to broadcast.
 
     Equal rows collapse before the shuffle, so a hot value or group costs one
     row per task.
@@ -180,13 +187,24 @@ def value_counts(
     counts = materialize(
         df.groupBy(*group, value).agg(F.count("*").alias("_count")), "value_counts"
     )
-    small = counts.count() <= small_rows
-    if small:
-        upto = Window.partitionBy(*group).orderBy(value).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
-        )
-        return counts.withColumn("_upto", F.sum("_count").over(upto)), True
-    return running_sums(counts, group, [value], {"_upto": F.col("_count")}), False
+    return counts, counts.count() <= small_rows
+
+
+def cumulative_counts(
+    counts: DataFrame, group: Sequence[str], value: str, small: bool
+) -> DataFrame:
+    """Adds ``_upto``: the rows of the group with a value up to this one."""
+    if not small:
+        return running_sums(counts, group, [value], {"_upto": F.col("_count")})
+    upto = Window.partitionBy(*group).orderBy(value).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    return counts.withColumn("_upto", F.sum("_count").over(upto))
+
+
+def group_totals(counts: DataFrame, group: Sequence[str], name: str) -> DataFrame:
+    """Rows per group, written so that Catalyst knows the size of the table."""
+    return materialize(counts.groupBy(*group).agg(F.sum("_count").alias(name)), "totals")
 
 
 def percent_rank(
@@ -203,17 +221,17 @@ def percent_rank(
     The rank of a row follows from counts per distinct value; the rows
     themselves are neither sorted nor, for a small table of values, shuffled.
     """
-    ranked, small = value_counts(df, group, value, small_rows)
+    counts, small = value_counts(df, group, value, small_rows)
+    ranked = cumulative_counts(counts, group, value, small)
+    totals = group_totals(counts, group, "_n")
     below, others = F.col("_upto") - F.col("_count"), F.col("_n") - 1
     if digits is None:
         share = F.try_divide(below.cast("double"), others.cast("double"))
     else:
         share = rounded_ratio(below * 100, others, digits)
     # A row alone in its group has rank 0.
-    rank_share = F.coalesce(share, F.lit(0))
-    totals = materialize(ranked.groupBy(*group).agg(F.max("_upto").alias("_n")), "totals")
     shares = join_null_safe(ranked, totals, group, "inner").select(
-        *group, value, rank_share.alias(name)
+        *group, value, F.coalesce(share, F.lit(0)).alias(name)
     )
     keys = [*group, value]
     if small:

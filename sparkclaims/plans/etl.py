@@ -18,7 +18,7 @@ from sparkclaims.functions.columns import (
     load_stamp,
 )
 from sparkclaims.functions.risk import as_flag, max_normalized_risk, payout_ratio, rejected_amount
-from sparkclaims.operators.joins import skew_join
+from sparkclaims.operators.joins import skew_join, unique_by
 from sparkclaims.operators.merge import initial_history
 from sparkclaims.operators.positions import dense_key
 from sparkclaims.operators.quality import quality_report, require_quality
@@ -76,9 +76,9 @@ def with_normalized_risk(claims: DataFrame, name: str = "risk_score") -> DataFra
 
 
 def with_policy_risk(claims: DataFrame, policies: DataFrame) -> DataFrame:
-    """Adds the risk score of the claim's policy; policies are unique by key."""
+    """Adds the risk score of the claim's policy; a repeated policy raises."""
     scores = policies.select("policy_id", F.col("risk_score").alias("policy_risk_score"))
-    return skew_join(claims, scores, ["policy_id"])
+    return skew_join(claims, unique_by(scores, ["policy_id"]), ["policy_id"])
 
 
 def transform_claims(claims: DataFrame, policies: DataFrame, as_of: datetime.date) -> DataFrame:

@@ -71,24 +71,23 @@ def fraud_by_category(star: ClaimStar) -> DataFrame:
     )
 
 
-def running_fraud(claims: DataFrame, tie: Sequence[str]) -> DataFrame:
+def running_fraud(
+    claims: DataFrame, tie: Sequence[str], keep: Sequence[str] = ("claim_id",)
+) -> DataFrame:
     """Fraud count and average score up to each claim of its type, by date.
 
-    ``tie`` makes the order of claims on one day definite.
+    ``tie`` makes the order of claims on one day definite. Only ``keep`` and
+    the columns in use travel through the sort.
     """
-    kept = list(dict.fromkeys(["claim_id", "claim_type", "claim_date", "fraud_flag", "fraud_score", *tie]))
+    used = dict.fromkeys([*keep, "claim_type", "claim_date", "fraud_flag", "fraud_score"])
     rows = running_sums(
-        claims.select(*kept),
+        claims.select(*dict.fromkeys([*used, *tie])),
         ["claim_type"],
         ["claim_date", *tie],
         {"running_fraud_count": fraud_claims(), **score_sums()},
     )
     return rows.select(
-        "claim_id",
-        "claim_type",
-        "claim_date",
-        "fraud_flag",
-        "fraud_score",
+        *used,
         "running_fraud_count",
         rounded_ratio(F.col("score_sum"), F.col("score_rows"), 4).alias("running_fraud_score_avg"),
     )
@@ -215,11 +214,13 @@ def next_month(star: ClaimStar) -> DataFrame:
     return months.withColumn("next_month_count", F.lead("claim_count", 1).over(ordered))
 
 
-def fraud_percentile(star: ClaimStar, tie: Sequence[str]) -> DataFrame:
+def fraud_percentile(
+    star: ClaimStar, tie: Sequence[str], keep: Sequence[str] = ("claim_id",)
+) -> DataFrame:
     """Percentile of each claim's score within its policy type, and the average
     score over seven claims around it by date."""
-    kept = ["claim_id", "claimed_amount", "fraud_score", "status", "policy_id", "date_key", *tie]
-    claims = star.claims.select(*dict.fromkeys(kept))
+    shown = dict.fromkeys([*keep, "claimed_amount", "fraud_score", "status"])
+    claims = star.claims.select(*dict.fromkeys([*shown, "policy_id", "date_key", *tie]))
     placed = skew_join(
         claims, star.policies.select("policy_id", "policy_type_id"), ["policy_id"], "inner"
     )
@@ -229,22 +230,21 @@ def fraud_percentile(star: ClaimStar, tie: Sequence[str]) -> DataFrame:
         ranked, star.policy_types.select("policy_type_id", "policy_type_name"), ["policy_type_id"], "inner"
     )
     return named.select(
-        "claim_id",
-        "claimed_amount",
-        "fraud_score",
-        "status",
+        *shown,
         "policy_type_name",
         "fraud_percentile",
         rounded_ratio(F.col("score_sum"), F.col("score_rows"), 4).alias("rolling_avg_fraud_score"),
     )
 
 
-def risk_quartile(claims: DataFrame, tie: Sequence[str]) -> DataFrame:
+def risk_quartile(
+    claims: DataFrame, tie: Sequence[str], keep: Sequence[str] = ("claim_id",)
+) -> DataFrame:
     """Quarter of all claims, by falling score, that each claim is in."""
-    rows = claims.select(*dict.fromkeys(["claim_id", "fraud_score", *tie]))
+    rows = claims.select(*dict.fromkeys([*keep, "fraud_score", *tie]))
     order = [F.desc_nulls_first("fraud_score"), *tie]
     return global_ntile(rows, 4, order, "risk_quartile").select(
-        "claim_id", "fraud_score", "risk_quartile"
+        *dict.fromkeys([*keep, "fraud_score"]), "risk_quartile"
     )
 
 

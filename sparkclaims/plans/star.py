@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkclaims.functions.risk import flag_count
-from sparkclaims.operators.joins import Dimension, skew_join, star_aggregate
+from sparkclaims.operators.joins import Dimension, skew_join, star_aggregate, unique_by
 
 
 @dataclass(frozen=True)
@@ -92,17 +92,30 @@ def fraud_claims() -> Column:
 
 def denormalize(star: ClaimStar) -> DataFrame:
     """Claims with policy, policy type, agent and customer attributes; claims
-    without a match keep nulls."""
+    without a match keep nulls. A repeated key of a joined table raises."""
     claims = star.claims
     on_policy = [key for key in _ON_POLICY if key not in claims.columns]
-    joined = skew_join(claims, star.policies.select("policy_id", *on_policy), ["policy_id"])
-    joined = skew_join(
-        joined,
-        star.policy_types.select("policy_type_id", "policy_type_name", "category"),
-        ["policy_type_id"],
-    )
-    joined = skew_join(joined, star.agents.select("agent_id", "region"), ["agent_id"])
-    people = ["age_band", "income_band", "credit_band", "gender", "city", "state"]
-    return skew_join(
-        joined, star.current_customers().select("customer_id", *people), ["customer_id"]
-    )
+
+    def frequencies(key: str) -> DataFrame:
+        return aggregate(star, [key], {"_rows": count_claims()}, "left")
+
+    def rows(table: DataFrame, key: str, *attributes: str) -> DataFrame:
+        return unique_by(table.select(key, *attributes), [key])
+
+    joined = skew_join(claims, rows(star.policies, "policy_id", *on_policy), ["policy_id"])
+    for table, key, attributes in [
+        (star.policy_types, "policy_type_id", ["policy_type_name", "category"]),
+        (star.agents, "agent_id", ["region"]),
+        (
+            star.current_customers(),
+            "customer_id",
+            ["age_band", "income_band", "credit_band", "gender", "city", "state"],
+        ),
+    ]:
+        joined = skew_join(
+            joined,
+            rows(table, key, *attributes),
+            [key],
+            frequencies=lambda key=key: frequencies(key),
+        )
+    return joined

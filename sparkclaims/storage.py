@@ -44,6 +44,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over every core, for costly row work on an input of few splits.
+
+    An input that already has as many splits as cores is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def release_scratch(spark: SparkSession) -> bool:
     """Delete every scratch table below the shared folder.
 
