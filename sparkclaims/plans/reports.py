@@ -128,10 +128,12 @@ def fraud_type_counts(claims: DataFrame) -> DataFrame:
 
 
 def high_fraud(claims: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """Fraud claims with a score above ``threshold``."""
-    return claims.filter(
-        F.col("fraud_flag").cast("boolean") & (F.col("fraud_score") > threshold)
-    ).select("claim_id", "fraud_score", "status")
+    """Fraud claims with a score above ``threshold``.
+
+    The threshold takes the column's type, so that the comparison reaches the scan.
+    """
+    least = F.lit(threshold).cast(claims.schema["fraud_score"].dataType)
+    return claims.filter(F.col("fraud_flag").cast("boolean") & (F.col("fraud_score") > least)).select("claim_id", "fraud_score", "status")
 
 
 def customer_risk(star: ClaimStar, levels: Sequence[str] = ("CRITICAL", "HIGH")) -> DataFrame:
@@ -375,10 +377,10 @@ def monthly_fraud_top(star: ClaimStar, places: int = 3) -> DataFrame:
             "fraud_claims",
             rounded_ratio(F.col("score_sum"), F.col("score_rows"), 4).alias("avg_fraud_score"),
             F.col("claimed_sum").alias("total_claimed"),
-            F.rank().over(in_month).alias("fraud_rank"),
             F.sum("fraud_claims").over(in_year).alias("ytd_fraud_claims"),
             F.lag("fraud_claims").over(over_time).alias("prev_month_fraud"),
         )
+        .withColumn("fraud_rank", F.rank().over(in_month))
         .filter(F.col("fraud_rank") <= places)
         .orderBy("year", "month", "fraud_rank", "claim_type")
     )

