@@ -66,4 +66,4 @@ def in_fixed_order(df: DataFrame, column: str, domain: Sequence[str]) -> DataFra
     listed = df.sparkSession.createDataFrame(
         [(value, place) for place, value in enumerate(domain, 1)], f"{column} string, position int"
     )
-    return F.broadcast(listed).join(df, column, "left").orderBy("position")
+    return listed.join(df, column, "left").orderBy("position")

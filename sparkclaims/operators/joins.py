@@ -61,16 +61,18 @@ def unique_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return checked.select(*keys, "_row.*").select(*df.columns)
 
 
-def hot_keys(frequencies: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The most frequent keys (null included) with over ``hot_rows`` rows, from
-    a table of keys and ``_rows``.
+def hot_keys(
+    frequencies: DataFrame, keys: Sequence[str], hot_rows: int | None = None
+) -> DataFrame:
+    """The most frequent keys (null included) with over ``hot_rows`` rows
+    (``HOT_ROWS`` by default), from a table of keys and ``_rows``.
 
     Holds at most ``HOT_KEYS`` rows. They are collected once, so that both
     sides of a join see the same list.
     """
+    least = HOT_ROWS if hot_rows is None else hot_rows
     top = (
-        frequencies
-        .filter(F.col("_rows") > hot_rows)
+        frequencies.filter(F.col("_rows") > least)
         .orderBy(F.desc("_rows"), *keys)
         .limit(HOT_KEYS)
         .select(*keys)
@@ -86,7 +88,7 @@ def skew_join(
     null_safe: bool = False,
     residual: Column | None = None,
     frequencies: Callable[[], DataFrame] | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     salts: int = SALTS,
     may_broadcast: bool = True,
 ) -> DataFrame:

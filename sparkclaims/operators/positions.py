@@ -5,7 +5,7 @@ share, runs in one task. The operators here sort the rows with a range
 partitioning instead, whose keys include the caller's tie-breaking columns, so
 that the partitions are balanced whatever the group sizes. The sorted rows are
 written once to the shared folder. Everything that crosses partitions is then
-a table with one row per partition, small enough to broadcast.
+a table with a few rows per partition, small enough to broadcast.
 """
 
 from __future__ import annotations
@@ -22,6 +22,9 @@ from sparkclaims.storage import materialize
 BLOCK, INDEX = "_block", "_index"
 # Fixed value: monotonically_increasing_id keeps the row number in 33 bits.
 _INDEX_BITS = 33
+BLOCKS_PER_PARTITION = 16
+BLOCK_ROWS = 4_096
+# Tables up to this many rows are broadcast and sorted by plain windows.
 SMALL_ROWS = 200_000
 
 
@@ -29,26 +32,29 @@ def _columns(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(n) if isinstance(n, str) else n for n in names]
 
 
-def ordered_blocks(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
-    """Rows in global order: ``_block`` numbers the sorted partitions and
-    ``_index`` the rows of each. ``order`` must identify a row."""
+def ordered_blocks(
+    df: DataFrame, order: Sequence[str | Column], least_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """Rows in global order: ``_block`` numbers runs of consecutive rows and
+    ``_index`` the rows of each. ``order`` must identify a row.
+
+    A sorted partition is cut in up to ``BLOCKS_PER_PARTITION`` blocks, so that
+    a later shuffle by block gives every task a like share.
+    """
     keys = _columns(order)
     ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     table = materialize(ordered.withColumn("_id", F.monotonically_increasing_id()), "ordered")
+    index = F.col("_id").bitwiseAND(F.lit((1 << _INDEX_BITS) - 1))
+    longest = (table.agg(F.max(index)).first()[0] or 0) + 1
+    rows = max(least_rows, -(-longest // BLOCKS_PER_PARTITION))
+    partition = F.shiftright("_id", _INDEX_BITS)
     return table.select(
         *df.columns,
-        F.shiftright("_id", _INDEX_BITS).alias(BLOCK),
-        F.col("_id").bitwiseAND(F.lit((1 << _INDEX_BITS) - 1)).alias(INDEX),
+        (partition * BLOCKS_PER_PARTITION + F.floor(index / rows)).alias(BLOCK),
+        (index % rows).alias(INDEX),
     )
 
 
-def one_partition_per_block(blocks: DataFrame) -> DataFrame:
-    """The same rows, each block in a partition of its own, which a window by
-    block accepts as it is. Hashing would put several blocks in one task."""
-    last = blocks.agg(F.max(BLOCK)).first()[0]
-    return blocks.repartitionById((last or 0) + 1, F.col(BLOCK).cast("int"))
-
-
 def _with_start(blocks: DataFrame) -> DataFrame:
     """Adds ``_position`` (1-based, global) and ``_total`` (rows in all).
 
@@ -98,6 +104,7 @@ def running_sums(
     group: Sequence[str],
     order: Sequence[str | Column],
     sums: Mapping[str, Column],
+    least_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Adds, per group, the sums from its first row to the current one.
 
@@ -105,7 +112,7 @@ def running_sums(
     that part added. At most one group per block does.
     """
     inputs = {f"_in_{name}": value for name, value in sums.items()}
-    blocks = ordered_blocks(df.withColumns(inputs), [*group, *order])
+    blocks = ordered_blocks(df.withColumns(inputs), [*group, *order], least_rows)
     earlier = Window.partitionBy(*group).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         blocks.groupBy(BLOCK, *group)
@@ -122,7 +129,7 @@ def running_sums(
     local = Window.partitionBy(BLOCK, *group).orderBy(INDEX).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    inside = one_partition_per_block(blocks).withColumns(
+    inside = blocks.withColumns(
         {f"_local_{name}": F.sum(f"_in_{name}").over(local) for name in sums}
     )
     joined = join_null_safe(inside, F.broadcast(carried), [BLOCK, *group], "left")

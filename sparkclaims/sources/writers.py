@@ -1,5 +1,6 @@
-"""Sinks and layouts. The number of files follows from the data: AQE sizes and
-splits the partitions of a rebalance, hot ones included."""
+"""Sinks and layouts. The number of files follows from the data, never from a
+fixed count: where files must be merged or split, AQE sizes the partitions of a
+rebalance, hot ones included."""
 
 from __future__ import annotations
 
@@ -32,8 +33,11 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_parquet(df: DataFrame, path: str) -> None:
-    df.hint("rebalance").write.mode("overwrite").parquet(path)
+def write_parquet(df: DataFrame, path: str, compact: bool = False) -> None:
+    """Overwrite a Parquet table. ``compact`` shuffles many small partitions
+    into files of AQE's advisory size; otherwise nothing is shuffled."""
+    rows = df.hint("rebalance") if compact else df
+    rows.write.mode("overwrite").parquet(path)
 
 
 def write_tables(tables: Mapping[str, DataFrame], folder: str, kind: str = "parquet") -> dict[str, int]:

@@ -14,22 +14,26 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_fallback: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for scratch tables, from ``spark.checkpoint.dir``.
 
     Only a session on a local master may run without the setting: it gets a
-    temporary folder, which is then remembered for the session.
+    temporary folder of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError(
             "spark.checkpoint.dir is not set: name a folder that every executor can reach"
         )
-    folder = tempfile.mkdtemp(prefix="sparkclaims-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _fallback:
+        _fallback[context.applicationId] = tempfile.mkdtemp(prefix="sparkclaims-")
+    return _fallback[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

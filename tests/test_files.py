@@ -11,11 +11,35 @@ from pyspark.sql import functions as F
 from sparkclaims import schemas
 from sparkclaims.plans import etl
 from sparkclaims.sources import readers, writers
-from sparkclaims.storage import scratch_path
+from sparkclaims.storage import scratch_path, shared_dir
 
 AS_OF = datetime.date(2024, 6, 30)
 
 
+class Session:
+    """As much of a session as the choice of a folder needs."""
+
+    def __init__(self, master, settings):
+        self.conf, self.sparkContext = settings, self
+        self.master, self.applicationId = master, f"app-{master}"
+
+
+def test_shared_folder():
+    named = Session("yarn", {"spark.checkpoint.dir": "hdfs:///shared/"})
+    assert shared_dir(named) == "hdfs:///shared"
+    local = Session("local[2]", {})
+    assert shared_dir(local) == shared_dir(local)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session("yarn", {}))
+
+
+def test_compact_write(spark):
+    path = scratch_path(spark, "compact")
+    writers.write_parquet(spark.range(100).repartition(20), path, compact=True)
+    read = spark.read.parquet(path)
+    assert read.count() == 100 and len(read.inputFiles()) < 20
+
+
 def test_read_csv(spark, tmp_path):
     (tmp_path / "a.csv").write_text("agent_id,agent_name,region,experience_years,performance_rating\nA1,\"Doe, J\",North,3,4.5\n")
     row = readers.read_csv(spark, str(tmp_path / "a.csv"), schemas.AGENTS).first()

@@ -54,11 +54,11 @@ def by_group(data, key):
     return groups
 
 
-@pytest.mark.parametrize("n", [0, 2, 500])
-def test_running_sums(spark, n):
+@pytest.mark.parametrize("n, least_rows", [(0, 1), (2, 1), (500, 1), (500, 4096)])
+def test_running_sums(spark, n, least_rows):
     data, df = sample(spark, n)
     sums = {"total": F.col("m"), "known": F.col("v").cast("long")}
-    got = {r["id"]: (r["total"], r["known"]) for r in positions.running_sums(df, ["g"], ["v", "id"], sums).collect()}
+    got = {r["id"]: (r["total"], r["known"]) for r in positions.running_sums(df, ["g"], ["v", "id"], sums, least_rows).collect()}
     expected = {}
     for rows in by_group(data, lambda r: (nulls_first(r[2]), r[0])).values():
         total, known = 0, None
@@ -108,4 +108,4 @@ def test_hot_group_is_split(spark):
     df = spark.range(40_000).select(F.lit("g").alias("g"), F.lit(1).alias("v"), "id").repartition(8)
     blocks = positions.ordered_blocks(df, ["g", "v", "id"])
     sizes = [r["count"] for r in blocks.groupBy(positions.BLOCK).count().collect()]
-    assert len(sizes) > 1 and max(sizes) < 0.6 * 40_000
+    assert len(sizes) > 4 and max(sizes) <= positions.BLOCK_ROWS

@@ -45,12 +45,5 @@ def test_query_without_broadcast(spark, connection, no_broadcast, monkeypatch, n
     """The plans for large dimensions, with keys salted from few rows on."""
     from sparkclaims.operators import joins
 
-    monkeypatch.setattr(joins.skew_join, "__defaults__", _with_hot_rows(joins.skew_join, 5))
+    monkeypatch.setattr(joins, "HOT_ROWS", 5)
     assert check.difference(spark, connection, FOLDER, name) == ""
-
-
-def _with_hot_rows(function, rows):
-    names = function.__code__.co_varnames[: function.__code__.co_argcount]
-    defaults = list(function.__defaults__)
-    defaults[names.index("hot_rows") - (len(names) - len(defaults))] = rows
-    return tuple(defaults)

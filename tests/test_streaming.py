@@ -79,6 +79,16 @@ def test_late_rows(spark, work, rows):
     assert dropped == 1
 
 
+def test_console(spark, work):
+    folder, _, checkpoint = work
+    arrive(folder, "1.csv", line(1, "2025-01-15"))
+    query = streams.to_console(
+        streams.type_totals(streams.csv_stream(spark, str(folder))), "complete", checkpoint
+    )
+    query.awaitTermination()
+    assert streams.ingest_status(query)["rows_in_last_batch"] == 1
+
+
 def test_event_time_of_bad_text(spark):
     df = spark.createDataFrame([("2025-01-15",), ("soon",), (None,)], "claim_date string")
     assert streams.event_time(df).filter("claim_date IS NULL").count() == 2
