@@ -151,20 +151,34 @@ def star_aggregate(
 ) -> DataFrame:
     """Additive measures of a star join, grouped by ``by``.
 
-    A dimension within the broadcast threshold is joined directly. Before a
-    larger one the fact is first reduced to one row per key still needed, so
-    that a hot key reaches the shuffle as one row per task. Every measure in
-    ``sums`` is a sum; averages are formed afterwards from sums and counts.
+    A dimension within the broadcast threshold is joined directly. For a larger
+    one, a hot key must not reach the join as it is:
+
+    - When only its key and measures are left, or the fact has already been
+      through a large join, the rows are first summed per key. A hot key then
+      arrives as one row per task, and the join reuses the shuffle of the sums.
+    - When the fact still carries other columns, summing would hardly shrink
+      it, so the rows of hot keys are salted instead.
+
+    Every measure in ``sums`` is a sum; averages are formed afterwards from
+    sums and counts.
     """
     later_keys = [d.key for d in dimensions]
     needed = [c for c in fact.columns if c in {*later_keys, *by}]
     current = fact.select(*needed, *[value.alias(name) for name, value in sums.items()])
     totals = [F.sum(name).alias(name) for name in sums]
+    shuffled = False
     for place, dimension in enumerate(dimensions):
         rows = dimension.rows()
-        if not fits_broadcast(rows):
-            current = current.groupBy(*[c for c in current.columns if c not in sums]).agg(*totals)
-        current = current.join(rows, dimension.key, dimension.how)
+        keys = [c for c in current.columns if c not in sums]
+        if fits_broadcast(rows):
+            current = current.join(rows, dimension.key, dimension.how)
+        elif shuffled or keys == [dimension.key]:
+            current = current.groupBy(*keys).agg(*totals).join(rows, dimension.key, dimension.how)
+            shuffled = True
+        else:
+            current = skew_join(current, rows, [dimension.key], dimension.how, may_broadcast=False)
+            shuffled = True
         still = {*by, *later_keys[place + 1:], *sums}
         current = current.select(*[c for c in current.columns if c in still])
     return current.groupBy(*by).agg(*totals)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from sparkclaims.operators import joins
 from sparkclaims.operators.joins import (
     Dimension,
     fits_broadcast,
@@ -94,6 +95,16 @@ def test_star_aggregate_reduces_before_a_large_join(fact, table, no_broadcast, r
     assert rows(got) == rows(fact.join(table, "k").groupBy("x").agg(F.count("*").alias("n")))
 
 
+def test_star_aggregate_salts_a_fact_that_carries_more(fact, table, no_broadcast, monkeypatch, rows):
+    monkeypatch.setattr(joins, "HOT_ROWS", 50)
+    wide = fact.withColumn("kind", F.col("id") % 5)
+    sums = {"n": F.lit(1).cast("long")}
+    got = star_aggregate(wide, [Dimension(table, "k", ["x"])], ["x", "kind"], sums)
+    assert "_salt" in got._jdf.queryExecution().optimizedPlan().toString()
+    expected = wide.join(table, "k").groupBy("x", "kind").agg(F.count("*").alias("n"))
+    assert rows(got) == rows(expected)
+
+
 def test_resolve_key(spark, rows):
     fact = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, c string")
     dim = spark.createDataFrame([("a", 10)], "c string, key int")
