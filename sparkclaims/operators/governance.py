@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkclaims.storage import local_table
+
 # Role names, role grants, mask sentinels and dictionary entries.
 ANALYST, STEWARD, MANAGER, ADMIN = (
     "ANALYST_ROLE",
@@ -72,16 +74,22 @@ def data_dictionary(
 ) -> DataFrame:
     """One row per column of ``tables`` with its type and the known annotations."""
     spark = next(iter(tables.values())).sparkSession
-    columns = spark.createDataFrame(
-        [
-            (schema_name, table, f.name, f.dataType.simpleString())
-            for table, df in tables.items()
-            for f in df.schema.fields
-        ],
+    fields = [(table, f) for table, df in tables.items() for f in df.schema.fields]
+    columns = local_table(
+        spark,
+        {
+            "table_schema": [schema_name] * len(fields),
+            "table_name": [table for table, _ in fields],
+            "column_name": [f.name for _, f in fields],
+            "data_type": [f.dataType.simpleString() for _, f in fields],
+        },
         "table_schema string, table_name string, column_name string, data_type string",
     )
-    notes = spark.createDataFrame(
-        list(entries), "table_name string, column_name string, description string, pii_flag boolean"
+    names = ["table_name", "column_name", "description", "pii_flag"]
+    notes = local_table(
+        spark,
+        {name: [entry[i] for entry in entries] for i, name in enumerate(names)},
+        "table_name string, column_name string, description string, pii_flag boolean",
     )
     return columns.join(F.broadcast(notes), ["table_name", "column_name"], "left").na.fill(
         {"pii_flag": False}

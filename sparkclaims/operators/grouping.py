@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkclaims.storage import local_table
+
 
 def _labelled(grouped, by: Sequence[str], labels: Mapping[str, str], sums: Sequence[str]) -> DataFrame:
     return grouped.agg(
@@ -63,7 +65,9 @@ def pivot_rate(
 
 def in_fixed_order(df: DataFrame, column: str, domain: Sequence[str]) -> DataFrame:
     """One row per value of ``domain`` in that order; figures are null if absent."""
-    listed = df.sparkSession.createDataFrame(
-        [(value, place) for place, value in enumerate(domain, 1)], f"{column} string, position int"
+    listed = local_table(
+        df.sparkSession,
+        {column: list(domain), "position": list(range(1, len(domain) + 1))},
+        f"{column} string, position int",
     )
     return listed.join(df, column, "left").orderBy("position")

@@ -63,12 +63,12 @@ def unique_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def hot_keys(
     frequencies: DataFrame, keys: Sequence[str], hot_rows: int | None = None
-) -> DataFrame:
+) -> DataFrame | None:
     """The most frequent keys (null included) with over ``hot_rows`` rows
     (``HOT_ROWS`` by default), from a table of keys and ``_rows``.
 
-    Holds at most ``HOT_KEYS`` rows. They are collected once, so that both
-    sides of a join see the same list.
+    Holds at most ``HOT_KEYS`` rows, or is None without any. They are collected
+    once, so that both sides of a join see the same list.
     """
     least = HOT_ROWS if hot_rows is None else hot_rows
     top = (
@@ -77,7 +77,8 @@ def hot_keys(
         .limit(HOT_KEYS)
         .select(*keys)
     )
-    return frequencies.sparkSession.createDataFrame(top.collect(), top.schema)
+    found = top.toArrow()
+    return frequencies.sparkSession.createDataFrame(found) if found.num_rows else None
 
 
 def skew_join(
@@ -113,7 +114,7 @@ def skew_join(
     else:
         counted = frequencies()
     hot = hot_keys(counted, keys, hot_rows)
-    if hot.isEmpty():
+    if hot is None:
         return join(left, right, [*keys])
     flagged = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")

@@ -151,7 +151,7 @@ def moving_sums(
     sums: Mapping[str, Column],
     before: int,
     after: int,
-    tile_rows: int = 1_000_000,
+    tile_rows: int = 65_536,
 ) -> DataFrame:
     """Adds sums over ``before`` rows back to ``after`` rows ahead in the group.
 

@@ -18,6 +18,7 @@ from sparkclaims.operators.grouping import cube_labelled, rollup_labelled
 from sparkclaims.operators.joins import skew_join
 from sparkclaims.operators.positions import global_ntile, moving_sums, percent_rank, running_sums
 from sparkclaims.plans.star import ClaimStar, aggregate, count_claims, fraud_claims, score_sums
+from sparkclaims.storage import local_table
 
 CLAIM_TYPE_TEXTS = {
     # Descriptions of the claim types.
@@ -103,8 +104,10 @@ def scored_claims(claims: DataFrame) -> DataFrame:
 
 def with_descriptions(df: DataFrame, column: str, texts: dict[str, str], name: str) -> DataFrame:
     """Adds the text of each code; unknown and null codes get ``Unknown``."""
-    lookup = df.sparkSession.createDataFrame(
-        sorted(texts.items()), f"{column} string, {name} string"
+    lookup = local_table(
+        df.sparkSession,
+        {column: list(texts), name: list(texts.values())},
+        f"{column} string, {name} string",
     )
     return df.join(F.broadcast(lookup), column, "left").na.fill({name: "Unknown"})
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -48,6 +49,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def local_table(spark: SparkSession, columns: dict[str, list], schema: str) -> DataFrame:
+    """A few rows as part of the plan: no Python worker reads them, and
+    Catalyst knows their size."""
+    return spark.createDataFrame(pa.table(columns), schema)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows over every core, for costly row work on an input of few splits.
 
