@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkclaims.bindings.registry import query
 from sparkclaims.bindings.tables import TIE, Tables
 from sparkclaims.operators import semistructured as docs
-from sparkclaims.schemas import BOOLEAN, DATE, DOUBLE, INT, MONEY, STRING, table
+from sparkclaims.plans import etl
+from sparkclaims.schemas import DATE, INT, MONEY, SOURCE_TABLES, STRING, table
 from sparkclaims.sources import readers, writers
 from sparkclaims.storage import scratch_path, spread
 
@@ -345,3 +346,63 @@ def json_flatten(t: Tables):
     return docs.flatten_flags(
         flagged, "raw_json", ["claim_id", "fraud_score"], "fraud_indicator_flag"
     ).orderBy(F.desc_nulls_first("fraud_score"))
+
+
+def write_source_files(t: Tables, folder: str) -> None:
+    """The test tables as the CSV files that the batch load reads."""
+    blank, money = F.lit(None).cast("string"), "decimal(15,2)"
+    text = lambda name: F.col(name).cast("string").alias(name)
+    customers = t.raw_customers.withColumns(
+        {"occupation": blank, "created_date": F.lit(datetime.date(2019, 1, 1))}
+    )
+    policies = t.policies.withColumns(
+        {"agent_id": blank, "deductible_amount": F.lit(50).cast(money)}
+    )
+    claims = t.claims.withColumns(
+        {
+            "approved_amount": F.col("approved_amount").cast(money),
+            "fraud_flag": F.col("fraud_flag").cast("smallint"),
+            "adjuster_notes": blank,
+            "date_id": F.col("date_key"),
+        }
+    )
+    agents = t.agents.withColumn("performance_rating", F.lit(4.5).cast("decimal(3,1)"))
+    types = t.policy_types.withColumns(
+        {
+            "base_premium_rate": F.lit(0.05).cast("decimal(6,4)"),
+            "max_coverage_amount": F.lit(500000).cast(money),
+        }
+    )
+    dates = t.dates.withColumnRenamed("date_key", "date_id").withColumns(
+        {name: F.col(name).cast("smallint") for name in ("is_weekend", "is_holiday")}
+    )
+    for name, df in {
+        "dim_customers": customers, "fact_policies": policies, "fact_claims": claims,
+        "dim_agents": agents, "dim_policy_types": types, "dim_date": dates,
+    }.items():
+        columns = [text(column) for column in SOURCE_TABLES[name].names]
+        writers.write_csv(df.select(*columns), f"{folder}/{name}.csv")
+
+
+@query(
+    "batch_load",
+    """WITH c AS (SELECT *, CAST(approved_amount AS DECIMAL(15,2)) AS approved FROM claims)
+       SELECT claim_id, round_even(CAST(approved AS DOUBLE) / CAST(claimed_amount AS DOUBLE), 4) AS payout_ratio,
+         CAST(claimed_amount - approved AS DOUBLE) AS rejected_amount,
+         round_even(CAST(fraud_score AS DOUBLE) * 0.5
+           + CAST(claimed_amount AS DOUBLE) / (SELECT CAST(max(claimed_amount) AS DOUBLE) FROM c) * 0.3
+           + CAST(processing_days AS DOUBLE) / (SELECT CAST(max(processing_days) AS DOUBLE) FROM c) * 0.2,
+           4) AS risk_score,
+         CAST(p.risk_score AS DOUBLE) AS policy_risk_score, c.date_key AS date_id, fraud_flag,
+         '2024-06-30' AS load_date
+       FROM c LEFT JOIN policies p ON c.policy_id = p.policy_id""",
+)
+def batch_load(t: Tables):
+    """The whole load from CSV files; the claims as the warehouse holds them."""
+    folder = scratch_path(t.spark, "batch_load")
+    write_source_files(t, f"{folder}/source")
+    etl.run(t.spark, f"{folder}/source", f"{folder}/warehouse", datetime.date(2024, 6, 30))
+    return t.spark.read.parquet(f"{folder}/warehouse/dwh_fact_claims").select(
+        "claim_id", "payout_ratio", "rejected_amount", "risk_score", "policy_risk_score",
+        "date_id", "fraud_flag", "load_date",
+    )

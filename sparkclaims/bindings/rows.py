@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from sparkclaims.bindings.registry import query
-from sparkclaims.bindings.tables import TIE, Tables
+from sparkclaims.bindings.tables import Tables
 from sparkclaims.functions.bands import experience_band
 from sparkclaims.functions.columns import date_key, date_parts, duration_days, full_name, load_stamp
 from sparkclaims.functions.columns import fill_unknown as fill
@@ -130,8 +132,6 @@ def date_key_of_claims(t: Tables):
        FROM policies""",
 )
 def policy_duration(t: Tables):
-    import datetime
-
     start, end = F.col("start_date"), F.col("end_date")
     timed = t.policies.select(
         "policy_id",

@@ -38,8 +38,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that no other call gets."""
-    return f"{shared_dir(spark)}/sparkclaims/{label}-{uuid.uuid4().hex}"
+    """A path of this application that no other call gets."""
+    return f"{_application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _application_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/sparkclaims/{spark.sparkContext.applicationId}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -65,11 +69,10 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def release_scratch(spark: SparkSession) -> bool:
-    """Delete every scratch table below the shared folder.
+    """Delete the scratch tables of this application.
 
-    Call it at the end of an application, when no returned DataFrame is read
-    any more.
+    Call it at the end, when no returned DataFrame is read any more.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/sparkclaims")
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
     return files.delete(path, True)

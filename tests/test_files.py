@@ -8,7 +8,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from sparkclaims import schemas
+from sparkclaims import schemas, storage
 from sparkclaims.plans import etl
 from sparkclaims.sources import readers, writers
 from sparkclaims.storage import scratch_path, shared_dir
@@ -33,6 +33,14 @@ def test_shared_folder():
         shared_dir(Session("yarn", {}))
 
 
+def test_release_scratch(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "_application_dir", lambda _: str(tmp_path / "app"))
+    table = storage.materialize(spark.range(3), "t")
+    assert table.count() == 3
+    assert storage.release_scratch(spark)
+    assert not (tmp_path / "app").exists()
+
+
 def test_compact_write(spark):
     path = scratch_path(spark, "compact")
     writers.write_parquet(spark.range(100).repartition(20), path, compact=True)
