@@ -324,7 +324,7 @@ def monthly_trend(t: Tables):
 @query(
     "age_band_rates",
     f"""WITH g AS (SELECT age_band, {FRAUD_PCT} AS fraud_rate, COUNT(*) AS count {LEFT_JOINED} GROUP BY 1)
-       SELECT age_band, position, fraud_rate, count
+       SELECT age_band, CAST(position AS BIGINT) AS position, fraud_rate, count
        FROM (VALUES ('18-25', 1), ('26-35', 2), ('36-45', 3), ('46-55', 4), ('56-65', 5), ('65+', 6))
          AS b(age_band, position) LEFT JOIN g USING (age_band)""",
 )

@@ -142,8 +142,8 @@ def clone_snapshot(t: Tables):
          0.0::DOUBLE AS null_pct_line_no, CAST((SELECT duplicates FROM d) AS BIGINT) AS duplicates,
          COUNT(*) FILTER (fraud_score > 1 OR fraud_score < 0) AS fraud_score_out_of_range,
          COUNT(*) FILTER (approved_amount < 0) AS negative_payout_ratio,
-         CASE WHEN count(*) FILTER (key_1 IS NULL) > 0.05 * count(*) THEN 1 ELSE 0 END
-           + CASE WHEN (SELECT duplicates FROM d) > 0 THEN 1 ELSE 0 END AS issue_count,
+         CAST(CASE WHEN count(*) FILTER (key_1 IS NULL) > 0.05 * count(*) THEN 1 ELSE 0 END
+           + CASE WHEN (SELECT duplicates FROM d) > 0 THEN 1 ELSE 0 END AS BIGINT) AS issue_count,
          false AS passed
        FROM k""",
 )
@@ -201,7 +201,7 @@ def data_dictionary(t: Tables):
 
 @query(
     "mask_customers",
-    """SELECT customer_id, annual_income::DOUBLE AS annual_income, 0 AS credit_score, 'CLAIMS_MANAGER_ROLE' AS role
+    """SELECT customer_id, annual_income::DOUBLE AS annual_income, CAST(0 AS BIGINT) AS credit_score, 'CLAIMS_MANAGER_ROLE' AS role
          FROM customers
        UNION ALL SELECT customer_id, -1.0, credit_score, 'DATA_STEWARD_ROLE' FROM customers
        UNION ALL SELECT customer_id, annual_income::DOUBLE, credit_score, 'SYSADMIN' FROM customers
@@ -271,7 +271,7 @@ _AGENT_COLUMNS = ["agent_id", "agent_name", "territory"]
 @query(
     "agent_paths",
     """WITH RECURSIVE chain AS (
-         SELECT agent_id, agent_name, territory, 1 AS level, CAST(agent_id AS VARCHAR) AS path
+         SELECT agent_id, agent_name, territory, CAST(1 AS BIGINT) AS level, CAST(agent_id AS VARCHAR) AS path
          FROM agents WHERE experience_years > 17
          UNION ALL
          SELECT a.agent_id, a.agent_name, a.territory, h.level + 1, h.path || ' -> ' || a.agent_id
@@ -288,7 +288,7 @@ def agent_paths(t: Tables):
 @query(
     "agent_path_counts",
     """WITH RECURSIVE chain AS (
-         SELECT agent_id, region, 1 AS level FROM agents WHERE experience_years > 17
+         SELECT agent_id, region, CAST(1 AS BIGINT) AS level FROM agents WHERE experience_years > 17
          UNION ALL
          SELECT a.agent_id, a.region, h.level + 1
          FROM agents a JOIN chain h ON a.region = h.region AND a.agent_id <> h.agent_id

@@ -189,7 +189,7 @@ def claim_status(number: Column) -> Column:
 
 VIEWS = {
     "claims": """SELECT *, approved_amount_x AS approved_amount,
-        CAST(year(claim_date) * 10000 + month(claim_date) * 100 + day(claim_date) AS INTEGER) AS date_key
+        CAST(year(claim_date) * 10000 + month(claim_date) * 100 + day(claim_date) AS BIGINT) AS date_key
       FROM (SELECT *, claimed_amount * (1 - disc) AS approved_amount_x,
         concat_ws('-', policy_id, line_no, part_id, agent_id,
                   CAST(claimed_amount AS VARCHAR), CAST(claim_date AS VARCHAR)) AS claim_id
@@ -203,7 +203,7 @@ VIEWS = {
         l_returnflag = 'R' AS fraud_flag,
         CAST(l_returnflag = 'R' AS BIGINT) AS fraud,
         CAST(l_discount * 10 AS DECIMAL(6,4)) AS fraud_score,
-        CAST(l_quantity AS INTEGER) AS processing_days FROM lineitem))""",
+        CAST(l_quantity AS BIGINT) AS processing_days FROM lineitem))""",
     "policies": """SELECT o_orderkey AS policy_id, o_custkey AS customer_id,
         o_orderpriority AS policy_type_id, CAST(o_orderdate AS DATE) AS start_date,
         CAST(o_orderdate AS DATE) + 365 AS end_date,
@@ -213,11 +213,11 @@ VIEWS = {
         CAST((o_orderkey % 900 + 100) / 100.0 AS DECIMAL(5,2)) AS risk_score FROM orders""",
     "raw_customers": """SELECT c_custkey AS customer_id, split_part(c_name, '#', 1) AS first_name,
         CASE WHEN c_custkey % 11 <> 0 THEN split_part(c_name, '#', 2) END AS last_name,
-        CAST(c_custkey % 57 + 18 AS INTEGER) AS age,
+        c_custkey % 57 + 18 AS age,
         CASE WHEN c_custkey % 13 <> 0 THEN c_mktsegment END AS gender,
         CASE WHEN c_custkey % 7 <> 0 THEN 'Married' END AS marital_status,
         CAST(CAST(c_acctbal AS DECIMAL(15,2)) * 20 AS DECIMAL(15,2)) AS annual_income,
-        CAST(c_custkey * 37 % 551 + 300 AS INTEGER) AS credit_score,
+        c_custkey * 37 % 551 + 300 AS credit_score,
         n_name || '/' || CAST(c_custkey % 4 AS VARCHAR) AS city, n_name AS state
       FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "customers": """SELECT customer_id, first_name, last_name, age,
@@ -238,7 +238,7 @@ VIEWS = {
       FROM raw_customers""",
     "agents": """SELECT s_suppkey AS agent_id, s_name AS agent_name, r_name AS region,
         n_name AS nation, s_suppkey // 20 AS territory,
-        CAST(s_suppkey % 19 + 1 AS INTEGER) AS experience_years
+        s_suppkey % 19 + 1 AS experience_years
       FROM supplier JOIN nation ON s_nationkey = n_nationkey
       JOIN region ON n_regionkey = r_regionkey""",
     "policy_types": """SELECT DISTINCT o_orderpriority AS policy_type_id,
@@ -246,7 +246,7 @@ VIEWS = {
         CASE WHEN substr(o_orderpriority, 1, 1) IN ('1', '2') THEN 'Fast'
           WHEN substr(o_orderpriority, 1, 1) = '3' THEN 'Normal' ELSE 'Slow' END AS category
       FROM orders""",
-    "dates": """SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS full_date,
+    "dates": """SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_key, d AS full_date,
         year(d) AS year, quarter(d) AS quarter, month(d) AS month, monthname(d) AS month_name,
         week(d) AS week, isodow(d) - 1 AS day_of_week, dayname(d) AS day_name,
         isodow(d) >= 6 AS is_weekend, false AS is_holiday,
