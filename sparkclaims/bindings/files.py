@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkclaims.bindings.registry import query
-from sparkclaims.bindings.tables import TIE, Tables
+from sparkclaims.bindings.tables import Tables
 from sparkclaims.operators import semistructured as docs
 from sparkclaims.plans import etl
 from sparkclaims.schemas import DATE, INT, MONEY, SOURCE_TABLES, STRING, table
@@ -109,13 +109,13 @@ def scan_json(t: Tables):
 def _dialect_lines(t: Tables) -> DataFrame:
     """Claims as CSV lines with quoted commas and every spelling of null; a
     number of them cannot be parsed."""
-    number, line = F.col("policy_id") % 10, F.col("line_no")
+    line = F.col("line_no")
     status = (
-        F.when(number == 1, "NULL").when(number == 2, "null").when(number == 3, "")
+        F.when(line == 3, "NULL").when(line == 4, "null").when(line == 5, "")
         .otherwise(F.concat(F.lit('"'), F.col("status"), F.lit(', noted"')))
     )
-    days = F.when((number == 4) & (line == 1), "soon").otherwise(F.col("processing_days").cast("string"))
-    more = F.when((number == 5) & (line == 2), ",extra").otherwise("")
+    days = F.when(line == 6, "soon").otherwise(F.col("processing_days").cast("string"))
+    more = F.when(line == 7, ",extra").otherwise("")
     return t.claims.select(
         F.concat(
             F.concat_ws(",", "claim_id", "policy_id", "claim_date", "claim_type", "claimed_amount", days, status),
@@ -135,8 +135,8 @@ def _copy_into(t: Tables):
     return readers.copy_into(t.spark, path, CLAIM_ROWS)
 
 
-_STATUS_SQL = "CASE WHEN policy_id % 10 IN (1, 2, 3) THEN NULL ELSE status || ', noted' END"
-_BAD_SQL = "((policy_id % 10 = 4 AND line_no = 1) OR (policy_id % 10 = 5 AND line_no = 2))"
+_STATUS_SQL = "CASE WHEN line_no IN (3, 4, 5) THEN NULL ELSE status || ', noted' END"
+_BAD_SQL = "(line_no IN (6, 7))"
 
 
 @query(
@@ -152,7 +152,7 @@ def copy_into(t: Tables):
 
 @query(
     "copy_into_rejects",
-    f"""SELECT claim_id, policy_id % 10 = 5 AS wrong_length FROM claims WHERE {_BAD_SQL}""",
+    f"""SELECT claim_id, line_no = 7 AS wrong_length FROM claims WHERE {_BAD_SQL}""",
 )
 def copy_into_rejects(t: Tables):
     _, rejected = _copy_into(t)
@@ -209,17 +209,16 @@ def scan_parquet_field(t: Tables):
 @query(
     "stage_append",
     """SELECT customer_id, age, state, '2024-01-01 06:00:00' AS load_timestamp, 'CRM_SYSTEM' AS source_system
-         FROM raw_customers WHERE customer_id % 2 = 0
+         FROM raw_customers WHERE age < 40
        UNION ALL SELECT customer_id, age, state, '2024-01-02 06:00:00', 'CRM_SYSTEM'
-         FROM raw_customers WHERE customer_id % 2 = 1""",
+         FROM raw_customers WHERE age >= 40""",
 )
 def stage_append(t: Tables):
-    """Even customers are staged on one day, odd ones on the next."""
+    """Customers under 40 are staged on one day, the others on the next."""
     path = scratch_path(t.spark, "stage_append")
     rows = t.raw_customers.select("customer_id", "age", "state")
-    for part, day in [(0, 1), (1, 2)]:
-        chosen = rows.filter(F.col("customer_id") % 2 == part)
-        writers.stage_append(chosen, path, datetime.datetime(2024, 1, day, 6, tzinfo=datetime.timezone.utc))
+    for condition, day in [("age < 40", 1), ("age >= 40", 2)]:
+        writers.stage_append(rows.filter(condition), path, datetime.datetime(2024, 1, day, 6, tzinfo=datetime.timezone.utc))
     return t.spark.read.parquet(path)
 
 

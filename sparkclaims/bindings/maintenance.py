@@ -19,10 +19,9 @@ from sparkclaims.storage import scratch_path
 
 @query(
     "merge_scd1",
-    """WITH source AS (SELECT policy_id + CASE WHEN policy_id % 10 = 0 THEN 1000000000 ELSE 0 END AS policy_id,
+    """WITH source AS (SELECT policy_id + CASE WHEN start_date >= DATE '2001-01-01' THEN 1000000000 ELSE 0 END AS policy_id,
            premium_amount, coverage_amount,
-           CASE WHEN policy_id % 4 = 0 THEN 'X' WHEN policy_id % 4 = 1 THEN NULL ELSE status END AS status
-         FROM policies WHERE policy_id % 2 = 0 OR policy_id % 5 = 0)
+           CASE WHEN status = 'P' THEN 'X' WHEN status = 'O' THEN status END AS status FROM policies)
        SELECT coalesce(t.policy_id, s.policy_id) AS policy_id,
          CASE WHEN t.policy_id IS NULL THEN s.premium_amount ELSE t.premium_amount END::DOUBLE AS premium_amount,
          CASE WHEN t.policy_id IS NULL THEN s.coverage_amount ELSE t.coverage_amount END::DOUBLE AS coverage_amount,
@@ -32,13 +31,15 @@ from sparkclaims.storage import scratch_path
        FROM policies t FULL JOIN source s ON t.policy_id = s.policy_id""",
 )
 def merge_scd1(t: Tables):
-    """New statuses for some policies, and policies with shifted keys to insert."""
-    key = F.col("policy_id")
-    source = t.policies.filter((key % 2 == 0) | (key % 5 == 0)).select(
-        (key + F.when(key % 10 == 0, 1000000000).otherwise(0)).alias("policy_id"),
+    """Every policy arrives again: P became X, the status of F is unknown, and
+    those from 2001 on carry a new key."""
+    status, key = F.col("status"), F.col("policy_id")
+    renewed = F.col("start_date") >= datetime.date(2001, 1, 1)
+    source = t.policies.select(
+        (key + F.when(renewed, 1000000000).otherwise(0)).alias("policy_id"),
         "premium_amount",
         "coverage_amount",
-        F.when(key % 4 == 0, "X").when(key % 4 != 1, F.col("status")).alias("status"),
+        F.when(status == "P", "X").when(status == "O", status).alias("status"),
     )
     target = t.policies.select(
         "policy_id", "premium_amount", "coverage_amount", F.col("status").alias("policy_status"),
@@ -56,19 +57,20 @@ def merge_scd1(t: Tables):
 @query(
     "merge_scd2",
     """SELECT customer_id, city, income_band, '2023-01-01' AS eff_start_date,
-         CASE WHEN customer_id % 3 = 0 THEN '2024-06-29' ELSE '9999-12-31' END AS eff_end_date,
-         customer_id % 3 <> 0 AS is_current FROM customers WHERE customer_id % 7 <> 0
-       UNION ALL SELECT customer_id, CASE WHEN customer_id % 3 = 0 THEN 'Moved' ELSE city END, income_band,
-         '2024-06-30', '9999-12-31', true FROM customers WHERE customer_id % 3 = 0 OR customer_id % 7 = 0""",
+         CASE WHEN credit_band = 'Poor' THEN '2024-06-29' ELSE '9999-12-31' END AS eff_end_date,
+         credit_band <> 'Poor' AS is_current FROM customers WHERE annual_income >= 0
+       UNION ALL SELECT customer_id, CASE WHEN credit_band = 'Poor' THEN 'Moved' ELSE city END, income_band,
+         '2024-06-30', '9999-12-31', true FROM customers WHERE credit_band = 'Poor' OR annual_income < 0""",
 )
 def merge_scd2(t: Tables):
-    """Customers divisible by 3 moved; those divisible by 7 are new."""
-    key = F.col("customer_id")
+    """Customers of poor credit moved; those of negative income are new."""
     rows = t.customers.select("customer_id", "city", "income_band")
-    history = initial_history(rows.filter(key % 7 != 0), datetime.date(2023, 1, 1))
-    source = rows.withColumn("city", F.when(key % 3 == 0, "Moved").otherwise(F.col("city")))
+    known = t.customers.filter("annual_income >= 0").select(*rows.columns)
+    moved = F.when(F.col("credit_band") == "Poor", "Moved").otherwise(F.col("city"))
+    source = t.customers.withColumn("city", moved).select(*rows.columns)
     merged = add_history(
-        history, source, ["customer_id"], ["city", "income_band"], datetime.date(2024, 6, 30)
+        initial_history(known, datetime.date(2023, 1, 1)),
+        source, ["customer_id"], ["city", "income_band"], datetime.date(2024, 6, 30),
     )
     return merged.drop("last_updated")
 
@@ -107,12 +109,13 @@ def as_of_count(t: Tables):
     return versions.as_of(log, ["user_id"], _VERSION, until, deleted).agg(F.count("*").alias("rows"))
 
 
-@query("restore_before", _as_of("event_id < 700"))
+@query("restore_before", _as_of("event_id < (SELECT max(event_id) FROM events)"))
 def restore_before(t: Tables):
+    """The table of users without the last change."""
+    log = _log(t)
+    last = log.agg(F.max("event_id")).scalar()
     deleted = F.col("event_type") == "error"
-    return versions.before_statement(
-        _log(t), ["user_id"], _VERSION, "event_id", 700, deleted
-    ).drop("ts")
+    return versions.before_statement(log, ["user_id"], _VERSION, "event_id", last, deleted).drop("ts")
 
 
 @query(
@@ -135,7 +138,7 @@ def clone_snapshot(t: Tables):
 
 @query(
     "dq_report",
-    """WITH k AS (SELECT *, CASE WHEN policy_id % 10 <> 0 THEN policy_id END AS key_1 FROM claims),
+    """WITH k AS (SELECT *, CASE WHEN status <> 'Rejected' THEN policy_id END AS key_1 FROM claims),
        d AS (SELECT SUM(n - 1) AS duplicates FROM (SELECT COUNT(*) AS n FROM k GROUP BY key_1, line_no))
        SELECT 'fact_claims' AS table_name, COUNT(*) AS total_rows,
          CAST(COUNT(*) FILTER (key_1 IS NULL) AS DOUBLE) / COUNT(*) AS null_pct_policy_id,
@@ -149,7 +152,7 @@ def clone_snapshot(t: Tables):
 )
 def dq_report(t: Tables):
     """Claims whose key is neither complete nor unique."""
-    key = F.when(F.col("policy_id") % 10 != 0, F.col("policy_id"))
+    key = F.when(F.col("status") != "Rejected", F.col("policy_id"))
     ratio = F.col("approved_amount").cast("double") / F.col("claimed_amount").cast("double")
     rows = t.claims.select(key.alias("policy_id"), "line_no", "fraud_score", ratio.alias("payout_ratio"))
     report = quality.quality_report(rows, "fact_claims", ["policy_id", "line_no"])

@@ -227,19 +227,20 @@ def denormalize_claims(t: Tables):
     "resolve_keys",
     """WITH history AS (
          SELECT customer_id, customer_id * 2 AS customer_key, DATE '1900-01-01' AS f,
-           CASE WHEN customer_id % 5 = 0 THEN DATE '1998-06-30' ELSE DATE '9999-12-31' END AS u
-         FROM customers WHERE customer_id % 17 <> 0
+           CASE WHEN credit_band = 'Poor' THEN DATE '1998-06-30' ELSE DATE '9999-12-31' END AS u
+         FROM customers WHERE annual_income >= 0
          UNION ALL
          SELECT customer_id, customer_id * 2 + 1, DATE '1998-07-01', DATE '9999-12-31'
-         FROM customers WHERE customer_id % 5 = 0 AND customer_id % 17 <> 0)
+         FROM customers WHERE credit_band = 'Poor' AND annual_income >= 0)
        SELECT policy_id, p.customer_id, coalesce(customer_key, -1) AS customer_key
        FROM policies p LEFT JOIN history h
          ON p.customer_id = h.customer_id AND start_date BETWEEN f AND u""",
 )
 def resolve_keys(t: Tables):
-    """Customers divisible by 5 changed on 1998-07-01; those by 17 are not loaded."""
+    """Customers of poor credit changed on 1998-07-01; those of negative income
+    are not loaded."""
     key = F.col("customer_id")
-    changed = key % 5 == 0
+    changed = F.col("credit_band") == "Poor"
     last = F.lit("9999-12-31")
     periods = F.array(
         F.struct(
@@ -256,7 +257,7 @@ def resolve_keys(t: Tables):
             ),
         ),
     )
-    history = t.customers.filter(key % 17 != 0).select(
+    history = t.customers.filter("annual_income >= 0").select(
         "customer_id", F.inline(F.array_compact(periods))
     )
     rows = t.policies.select("policy_id", "customer_id", "start_date")

@@ -76,11 +76,10 @@ def stream_ingest(t: Tables):
     rows = t.stream_claims(t.raw("events")).select(
         F.col("claim_id").cast("string").alias("claim_id"),
         F.col("claim_date").cast("string").alias("claim_date"),
-        "claim_type", "claimed_amount", "fraud_flag", (F.col("claim_id") % 2).alias("part"),
+        "claim_type", "claimed_amount", "fraud_flag",
     )
-    for part in (0, 1):
-        arrived = rows.filter(F.col("part") == part).drop("part")
-        write_csv(arrived, f"{path}/files/{part}")
+    for part, condition in [(1, "claim_date < '2024-01-16'"), (2, "claim_date >= '2024-01-16'")]:
+        write_csv(rows.filter(condition), f"{path}/files/{part}")
         streams.ingest_csv(
             t.spark, f"{path}/files/*", INGEST_ROWS, f"{path}/data", f"{path}/checkpoint"
         ).awaitTermination()

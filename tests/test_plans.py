@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as bound
 from sparkclaims.bindings.tables import Tables
