@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkclaims.llm import exact_dedup, line_dedup, quality_rules
+from sparkclaims.llm import (
+    exact_dedup,
+    license_scan,
+    line_dedup,
+    mixing,
+    near_dedup,
+    packing,
+    pii,
+    ppm,
+    quality_rules,
+    toxicity,
+)
 from sparkclaims.llm.words import SQL_BLANK_RUN, SQL_LOWER, SQL_WORD
 
 QUERIES: dict = {}
@@ -107,3 +118,48 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, folder))
+
+
+@query("op7_mixing")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "source", "text")
+    return mixing.taken_per_row(*mixing.mix(docs))
+
+
+@query("op8_near_dedup")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_groups(documents(spark, folder).select("doc_id", "text"))
+
+
+#: The key of the surrogates; a parameter in production.
+SURROGATE_KEY = "surrogates-of-the-test-tables"
+
+
+@query("op2_pii_surrogates")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.pseudonymise(documents(spark, folder), SURROGATE_KEY)
+
+
+@query("op10_license_scan", license_scan.scan_sql())
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(documents(spark, folder))
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels(spark, folder)), name="score")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % toxicity.FOLDS == toxicity.HELD_OUT
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@query("op5_ppm_score")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return ppm.score(documents(spark, folder))
+
+
+@query("op6_packing")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(documents(spark, folder))
