@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from sparkclaims.llm.arrow import slices
 from sparkclaims.storage import materialize
 
-ORDER = 4
-LEAST_SHARE = 2.0**-15
+ORDER = 5
+LEAST_SHARE = 2.0**-17
 #: Ends a text and stands before it; no UTF-8 text has this byte.
 EDGE = 0xFF
 #: Words whose counts every task holds; the counts of others are joined.
@@ -38,8 +38,12 @@ _MOST_GRAMS = 2_000_000
 
 
 class Trie(NamedTuple):
-    """Tables over nodes and bytes; node 0 is the empty context."""
+    """Tables over nodes and symbols; node 0 is the empty context.
 
+    Each byte seen in training is a symbol; all others share one.
+    """
+
+    symbol: np.ndarray
     cost: np.ndarray
     follow: np.ndarray
     order: int
@@ -158,17 +162,22 @@ def build(levels: list[tuple[np.ndarray, np.ndarray]]) -> Trie:
     """Costs (log10) and next nodes from the counts of each level."""
     order = len(levels) - 1
     if not len(levels[0][0]):
-        uniform = np.full((1, 256), -np.log10(256.0), np.float32)
-        return Trie(uniform, np.zeros((1, 256), np.int32), order)
+        uniform = np.full((1, 1), -np.log10(256.0), np.float32)
+        return Trie(np.zeros(256, np.int64), uniform, np.zeros((1, 1), np.int32), order)
+    seen = np.flatnonzero(levels[0][1][0])
+    unseen = np.setdiff1d(np.arange(256), seen)
+    symbol = np.full(256, len(seen))
+    symbol[seen] = np.arange(len(seen))
+    shown = np.concatenate((seen, unseen[:1]))
     first = np.concatenate(([0], np.cumsum([len(c) for c, _ in levels])))
-    cost = np.zeros((first[-1], 256), np.float32)
-    follow = np.zeros((first[-1], 256), np.int32)
+    cost = np.zeros((first[-1], len(shown)), np.float32)
+    follow = np.zeros((first[-1], len(shown)), np.int32)
     for length, (contexts, _) in enumerate(levels):
         for low in range(0, len(contexts), 4096):
             part = contexts[low : low + 4096]
             rows = slice(first[length] + low, first[length] + low + len(part))
-            cost[rows] = np.log10(_probabilities(levels, part, length))
-            joined = (part[:, None] << 8) | np.arange(256)
+            cost[rows] = np.log10(_probabilities(levels, part, length)[:, shown])
+            joined = (part[:, None] << 8) | shown
             node = np.zeros(joined.shape, np.int32)
             for short in range(1, min(length + 1, order) + 1):
                 known = levels[short][0]
@@ -177,7 +186,7 @@ def build(levels: list[tuple[np.ndarray, np.ndarray]]) -> Trie:
                 if len(known):
                     node = np.where(known[place] == key, first[short] + place, node).astype(np.int32)
             follow[rows] = node
-    return Trie(cost, follow, order)
+    return Trie(symbol, cost, follow, order)
 
 
 def _probabilities(levels, contexts: np.ndarray, length: int) -> np.ndarray:
@@ -213,16 +222,16 @@ def code_lengths(texts: list[bytes], trie: Trie) -> np.ndarray:
     chunks = -(-len(data) // _CHUNK)
     padded = np.full(chunks * _CHUNK, EDGE, np.uint8)
     padded[: len(data)] = data
-    columns = np.ascontiguousarray(padded.reshape(chunks, _CHUNK).T).astype(np.int64)
+    columns = trie.symbol[np.ascontiguousarray(padded.reshape(chunks, _CHUNK).T)]
     # The state of a chunk follows from the bytes just before it.
     state = np.zeros(chunks, np.int64)
-    cost, follow = trie.cost.ravel(), trie.follow.ravel()
+    cost, follow, width = trie.cost.ravel(), trie.follow.ravel(), trie.cost.shape[1]
     for back in range(trie.order, 0, -1):
-        before = np.concatenate(([EDGE], columns[_CHUNK - back, :-1]))
-        state = follow[state * 256 + before].astype(np.int64)
+        before = np.concatenate((trie.symbol[[EDGE]], columns[_CHUNK - back, :-1]))
+        state = follow[state * width + before].astype(np.int64)
     each = np.empty((_CHUNK, chunks), np.float32)
     for row in range(_CHUNK):
-        at = state * 256 + columns[row]
+        at = state * width + columns[row]
         np.take(cost, at, out=each[row])
         state = np.take(follow, at).astype(np.int64)
     sums = np.concatenate(([0.0], np.cumsum(each.T.ravel(), dtype=np.float64)))
