@@ -59,7 +59,7 @@ def rounded_ratio(numerator: Column, denominator: Column, digits: int) -> Column
     of a tie. Null when the denominator is 0.
     """
     quotient = F.try_divide(
-        numerator.cast("decimal(26,4)"), denominator.cast("decimal(12,0)")
+        numerator.cast("decimal(26,4)"), denominator.cast("decimal(20,0)")
     )
     return F.round(quotient, digits)
 

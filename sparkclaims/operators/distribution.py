@@ -4,70 +4,124 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkclaims.operators.joins import join_null_safe
-from sparkclaims.operators.positions import (
-    SMALL_ROWS,
-    cumulative_counts,
-    group_totals,
-    value_counts,
-)
+from sparkclaims.operators.joins import join_null_safe, skew_join
 from sparkclaims.storage import materialize
 
+# Bins of one round, and rows between two bounds that are sorted as they are.
+BINS = 4_096
+SORTED_ROWS = 100_000
 
-def _counted(
-    df: DataFrame, group: Sequence[str], value: str, small_rows: int
-) -> tuple[DataFrame, bool]:
-    known = df.filter(F.col(value).isNotNull()).select(*group, F.col(value).alias("_value"))
-    return value_counts(known, group, "_value", small_rows)
 
+def _bin(bins: int) -> Column:
+    """The bin of ``_value`` between ``_low`` and ``_high``; both ends differ in it."""
+    share = F.try_divide(F.col("_value") - F.col("_low"), F.col("_high") - F.col("_low"))
+    return F.coalesce(F.least(F.floor(share * bins), F.lit(bins - 1)), F.lit(0))
 
-def _quantiles_of(
-    counts: DataFrame, small: bool, group: Sequence[str], probs: dict[str, float]
-) -> DataFrame:
-    """Linear-interpolated quantiles from counts per value (numbered from 0)."""
-    totals = group_totals(counts, group, "n")
-    ranked = join_null_safe(
-        cumulative_counts(counts, group, "_value", small), totals, group, "inner"
+
+def _binned(rows: DataFrame, keys: Sequence[str], bins: int) -> DataFrame:
+    """Per bin its rows, its least and greatest value, and the rows before it.
+
+    Counted map-side; the window sees at most ``bins`` rows per range.
+    """
+    before = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        rows.groupBy(*keys, _bin(bins).alias("_bin"))
+        .agg(F.count("*").alias("_inside"), F.min("_value").alias("_least"), F.max("_value").alias("_most"))
+        .withColumn("_earlier", F.coalesce(F.sum("_inside").over(before), F.lit(0)))
     )
-    first, last = F.col("_upto") - F.col("_count"), F.col("_upto") - 1
 
-    def value_at(rank: Column) -> Column:
-        return F.max(F.when((first <= rank) & (rank <= last), F.col("_value").cast("double")))
 
-    places = {name: (F.col("n") - 1) * F.lit(p) for name, p in probs.items()}
-    picked = ranked.groupBy(*group, "n").agg(
-        *[value_at(F.floor(place)).alias(f"_low_{name}") for name, place in places.items()],
-        *[value_at(F.ceil(place)).alias(f"_high_{name}") for name, place in places.items()],
+def _value_at_ranks(
+    known: DataFrame, group: Sequence[str], places: Column, bins: int, sorted_rows: int
+) -> DataFrame:
+    """``_rank`` (from 0) and ``_at``, the value there, for the ranks in the array
+    ``places`` (an expression of ``n``) of each group, and ``n``.
+
+    A range of values holds each rank: at first the group's, then the bin of
+    the last round, until it has one value or few rows.
+    """
+    ends = materialize(
+        known.groupBy(*group).agg(
+            F.count("*").alias("n"), F.min("_value").alias("_low"), F.max("_value").alias("_high")
+        ),
+        "ends",
+    )
+    sizes = ends.select(*group, F.col("n").alias("_rows"))
+    ranks = ends.select(*group, "n", F.explode(F.array_distinct(places)).alias("_rank"))
+    # The ranks of a group share its first range.
+    ranged = skew_join(known, ends.drop("n"), group, "inner", null_safe=True, frequencies=lambda: sizes)
+    first = join_null_safe(ranks, _binned(ranged, group, bins), group, "inner")
+    chosen = materialize(_held(first, group, F.lit(0)), "ranges")
+    while chosen.filter((F.col("_low") < F.col("_high")) & (F.col("_inside") > sorted_rows)).limit(1).count():
+        rows = _between(known, chosen.drop("n", "_inside"), group, sizes)
+        inner = _binned(rows, [*group, "_rank", "_before"], bins)
+        held = _held(inner.withColumn("n", F.lit(0).cast("long")), group, F.col("_before")).drop("n")
+        chosen = materialize(
+            join_null_safe(held, chosen.select(*group, "_rank", "n"), [*group, "_rank"], "inner"), "ranges"
+        )
+    rows = _between(known, chosen.filter(F.col("_low") < F.col("_high")).drop("n", "_inside"), group, sizes)
+    upto = Window.partitionBy(*group, "_rank").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
+    found = (
+        rows.groupBy(*group, "_rank", "_before", "_value")
+        .agg(F.count("*").alias("_count"))
+        .withColumn("_upto", F.col("_before") + F.sum("_count").over(upto))
+        .filter((F.col("_upto") - F.col("_count") <= F.col("_rank")) & (F.col("_rank") < F.col("_upto")))
+        .select(*group, "_rank", F.col("_value").alias("_found"))
+    )
+    return join_null_safe(chosen, found, [*group, "_rank"], "left").select(
+        *group, "n", "_rank", F.coalesce("_found", "_low").alias("_at")
     )
-    return picked.select(
-        *group,
-        "n",
-        *[
-            (
-                F.col(f"_low_{name}")
-                + (F.col(f"_high_{name}") - F.col(f"_low_{name}")) * (place - F.floor(place))
-            ).alias(name)
-            for name, place in places.items()
-        ],
+
+
+def _held(binned: DataFrame, group: Sequence[str], before: Column) -> DataFrame:
+    """The bin that holds each rank, as its next range."""
+    earlier = before + F.col("_earlier")
+    return binned.filter((earlier <= F.col("_rank")) & (F.col("_rank") < earlier + F.col("_inside"))).select(
+        *group, "n", "_rank", F.col("_least").alias("_low"), F.col("_most").alias("_high"),
+        earlier.alias("_before"), "_inside",
     )
 
 
+def _between(known: DataFrame, ranges: DataFrame, group: Sequence[str], sizes: DataFrame) -> DataFrame:
+    """The rows inside each range."""
+    inside = (F.col("_value") >= F.col("_low")) & (F.col("_value") <= F.col("_high"))
+    return skew_join(known, ranges, group, "inner", null_safe=True, residual=inside, frequencies=lambda: sizes)
+
+
 def exact_quantiles(
     df: DataFrame,
     group: Sequence[str],
     value: str,
     probs: dict[str, float],
-    small_rows: int = SMALL_ROWS,
+    bins: int = BINS,
+    sorted_rows: int = SORTED_ROWS,
 ) -> DataFrame:
-    """Exact quantiles per group; ``probs`` maps output names to fractions.
+    """n and exact quantiles per group, linearly interpolated; ``probs`` maps
+    output names to fractions.
 
-    No task holds a group: equal values collapse map-side, and the running
-    counts come from sorted blocks.
+    No row is sorted or shuffled but those of the bins that hold the wanted
+    ranks; the counts per bin collapse map-side.
     """
-    return _quantiles_of(*_counted(df, group, value, small_rows), group, probs)
+    known = df.filter(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("_value"))
+    places = {name: (F.col("n") - 1) * F.lit(p) for name, p in probs.items()}
+    wanted = F.array(*[f(place).cast("long") for place in places.values() for f in (F.floor, F.ceil)])
+    found = _value_at_ranks(known, group, wanted, bins, sorted_rows)
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when(F.col("_rank") == rank, F.col("_at")))
+
+    picked = found.groupBy(*group, "n").agg(
+        *[at(F.floor(place)).alias(f"_low_{name}") for name, place in places.items()],
+        *[at(F.ceil(place)).alias(f"_high_{name}") for name, place in places.items()],
+    )
+    between = {
+        name: F.col(f"_low_{name}") + (F.col(f"_high_{name}") - F.col(f"_low_{name}")) * (place - F.floor(place))
+        for name, place in places.items()
+    }
+    return picked.select(*group, "n", *[quantile.alias(name) for name, quantile in between.items()])
 
 
 def box_stats(
@@ -75,26 +129,28 @@ def box_stats(
     group: Sequence[str],
     value: str,
     whisker: float = 1.5,
-    small_rows: int = SMALL_ROWS,
+    bins: int = BINS,
+    sorted_rows: int = SORTED_ROWS,
 ) -> DataFrame:
     """n, q1, median, q3, whisker ends and number of outliers per group.
 
     A whisker ends at the most extreme value within ``whisker`` times the
     interquartile range, and never inside the box.
     """
-    counts, small = _counted(df, group, value, small_rows)
     quartiles = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    boxes = materialize(_quantiles_of(counts, small, group, quartiles), "boxes")
+    boxes = materialize(exact_quantiles(df, group, value, quartiles, bins, sorted_rows), "boxes")
     reach = (F.col("q3") - F.col("q1")) * whisker
-    v = F.col("_value").cast("double")
+    v = F.col("_value")
     below, above = v < F.col("q1") - reach, v > F.col("q3") + reach
+    known = df.filter(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("_value"))
+    sizes = boxes.select(*group, F.col("n").alias("_rows"))
     return (
-        join_null_safe(counts, boxes, group, "inner")
+        skew_join(known, boxes, group, "inner", null_safe=True, frequencies=lambda: sizes)
         .groupBy(*group, "n", "q1", "median", "q3")
         .agg(
             F.least(F.min(F.when(~below, v)), F.col("q1")).alias("whisker_low"),
             F.greatest(F.max(F.when(~above, v)), F.col("q3")).alias("whisker_high"),
-            F.sum(F.when(below | above, F.col("_count")).otherwise(0)).alias("outliers"),
+            F.sum((below | above).cast("long")).alias("outliers"),
         )
     )
 
@@ -104,7 +160,7 @@ def outlier_rows(df: DataFrame, boxes: DataFrame, group: Sequence[str], value: s
     ends = boxes.select(*group, "whisker_low", "whisker_high")
     v = F.col(value).cast("double")
     return (
-        join_null_safe(df, ends, group, "inner")
+        skew_join(df, ends, group, "inner", null_safe=True)
         .filter((v < F.col("whisker_low")) | (v > F.col("whisker_high")))
         .select(*df.columns)
     )
@@ -134,7 +190,7 @@ def density_histogram(df: DataFrame, group: str, value: str, bins: int = 25) ->
     )
     place = F.least(F.floor((F.col("_value") - F.col("low")) / F.col("width")), F.lit(bins - 1))
     counts = (
-        known.join(ranges, group)
+        skew_join(known, ranges, [group], "inner")
         .groupBy(group, place.cast("int").alias("bin"))
         .agg(F.count("*").alias("_count"))
     )

@@ -8,11 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is salted when one task would get this many of its rows.
+from sparkclaims.storage import materialize
+
+# Rows of one key that a task may get; a key with more is split in as many parts as it takes.
 HOT_ROWS = 4_000_000
-# At most this many keys are salted; any further one has under 1/1000 of the rows.
-HOT_KEYS = 1_000
-SALTS = 256
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -64,21 +63,17 @@ def unique_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def hot_keys(
     frequencies: DataFrame, keys: Sequence[str], hot_rows: int | None = None
 ) -> DataFrame | None:
-    """The most frequent keys (null included) with over ``hot_rows`` rows
-    (``HOT_ROWS`` by default), from a table of keys and ``_rows``.
+    """Every key (null included) with over ``hot_rows`` rows (``HOT_ROWS`` by
+    default) and ``_salts``, the parts of at most that many rows it makes; from
+    a table of keys and ``_rows``. None without any.
 
-    Holds at most ``HOT_KEYS`` rows, or is None without any. They are collected
-    once, so that both sides of a join see the same list.
+    The table is written, so that both sides of a join see the same list. It
+    has at most all rows / ``hot_rows`` rows.
     """
-    least = HOT_ROWS if hot_rows is None else hot_rows
-    top = (
-        frequencies.filter(F.col("_rows") > least)
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(HOT_KEYS)
-        .select(*keys)
-    )
-    found = top.toArrow()
-    return frequencies.sparkSession.createDataFrame(found) if found.num_rows else None
+    most = HOT_ROWS if hot_rows is None else hot_rows
+    salts = F.ceil(F.col("_rows") / most).cast("int").alias("_salts")
+    found = materialize(frequencies.filter(F.col("_rows") > most).select(*keys, salts), "hot_keys")
+    return found if found.limit(1).count() else None
 
 
 def skew_join(
@@ -90,14 +85,13 @@ def skew_join(
     residual: Column | None = None,
     frequencies: Callable[[], DataFrame] | None = None,
     hot_rows: int | None = None,
-    salts: int = SALTS,
     may_broadcast: bool = True,
 ) -> DataFrame:
     """Left or inner equi-join of a fact with a table of few rows per key.
 
     A right side within the broadcast threshold is left to Catalyst. Beyond
-    it, the rows of hot keys are spread over ``salts`` sub-keys, and only the
-    right rows of those keys are repeated. ``residual`` is a further condition
+    it, the rows of each hot key are spread over as many sub-keys as their
+    number takes, and only the right rows of those keys are repeated. ``residual`` is a further condition
     on the columns of both sides. ``frequencies`` gives keys and ``_rows``; it spares a
     left side that is itself a join from being run to find the hot keys.
     """
@@ -116,16 +110,14 @@ def skew_join(
     hot = hot_keys(counted, keys, hot_rows)
     if hot is None:
         return join(left, right, [*keys])
-    flagged = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
+    flagged = F.broadcast(hot)
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.col("_salts")).cast("int")
     salted_left = join_null_safe(left, flagged, keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), spread).otherwise(0)
-    )
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    salted_right = join_null_safe(right, flagged, keys, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))
+        "_salt", F.when(F.col("_salts").isNotNull(), part).otherwise(0)
     )
-    return join(salted_left.drop("_hot"), salted_right.drop("_hot"), [*keys, "_salt"]).drop("_salt")
+    every = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
+    salted_right = join_null_safe(right, flagged, keys, "left").withColumn("_salt", F.explode(every))
+    return join(salted_left.drop("_salts"), salted_right.drop("_salts"), [*keys, "_salt"]).drop("_salt")
 
 
 @dataclass(frozen=True)
@@ -155,11 +147,11 @@ def star_aggregate(
     A dimension within the broadcast threshold is joined directly. For a larger
     one, a hot key must not reach the join as it is:
 
-    - When only its key and measures are left, or the fact has already been
-      through a large join, the rows are first summed per key. A hot key then
-      arrives as one row per task, and the join reuses the shuffle of the sums.
-    - When the fact still carries other columns, summing would hardly shrink
-      it, so the rows of hot keys are salted instead.
+    - When only its key and measures are left, the rows are first summed per
+      key. A hot key then arrives as one row per task, and the join reuses the
+      shuffle of the sums.
+    - When the fact still carries other columns, the rows of hot keys are
+      salted. After a first large join they are summed by those columns before.
 
     Every measure in ``sums`` is a sum; averages are formed afterwards from
     sums and counts.
@@ -174,9 +166,13 @@ def star_aggregate(
         keys = [c for c in current.columns if c not in sums]
         if fits_broadcast(rows):
             current = current.join(rows, dimension.key, dimension.how)
-        elif shuffled or keys == [dimension.key]:
+        elif keys == [dimension.key]:
             current = current.groupBy(*keys).agg(*totals).join(rows, dimension.key, dimension.how)
             shuffled = True
+        elif shuffled:
+            # Grouped by more than the key, so a hot key still has many rows.
+            summed = materialize(current.groupBy(*keys).agg(*totals), "summed")
+            current = skew_join(summed, rows, [dimension.key], dimension.how, may_broadcast=False)
         else:
             current = skew_join(current, rows, [dimension.key], dimension.how, may_broadcast=False)
             shuffled = True

@@ -22,10 +22,11 @@ from sparkclaims.storage import materialize
 BLOCK, INDEX = "_block", "_index"
 # Fixed value: monotonically_increasing_id keeps the row number in 33 bits.
 _INDEX_BITS = 33
-BLOCKS_PER_PARTITION = 16
-BLOCK_ROWS = 4_096
-# Tables up to this many rows are broadcast and sorted by plain windows.
-SMALL_ROWS = 200_000
+# Rows of a sorted partition, on the average, and of a block; their numbers follow from the rows.
+PARTITION_ROWS = 4_000_000
+BLOCK_ROWS = 65_536
+# Blocks of one partition are numbered in so many bits.
+_BLOCK_BITS = 24
 
 
 def _columns(names: Sequence[str | Column]) -> list[Column]:
@@ -33,49 +34,59 @@ def _columns(names: Sequence[str | Column]) -> list[Column]:
 
 
 def ordered_blocks(
-    df: DataFrame, order: Sequence[str | Column], least_rows: int = BLOCK_ROWS
+    df: DataFrame,
+    order: Sequence[str | Column],
+    block_rows: int | None = None,
+    partition_rows: int | None = None,
 ) -> DataFrame:
-    """Rows in global order: ``_block`` numbers runs of consecutive rows and
-    ``_index`` the rows of each. ``order`` must identify a row.
+    """Rows in global order: ``_block`` numbers runs of up to ``block_rows``
+    consecutive rows and ``_index`` the rows of each. ``order`` must identify a row.
 
-    A sorted partition is cut in up to ``BLOCKS_PER_PARTITION`` blocks, so that
-    a later shuffle by block gives every task a like share.
+    The rows are counted, and sorted in partitions of about ``partition_rows``:
+    as many as that takes, and no fewer than the session's shuffle partitions
+    while they hold a block each. ``df`` is run three times, to count, to
+    sample and to sort: hand in a written table when it is a join.
     """
     keys = _columns(order)
-    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    block_rows = block_rows or BLOCK_ROWS
+    rows = df.count()
+    wished = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(1, -(-rows // (partition_rows or PARTITION_ROWS)), min(wished, -(-rows // block_rows)))
+    ordered = df.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys)
     table = materialize(ordered.withColumn("_id", F.monotonically_increasing_id()), "ordered")
     index = F.col("_id").bitwiseAND(F.lit((1 << _INDEX_BITS) - 1))
-    longest = (table.agg(F.max(index)).first()[0] or 0) + 1
-    rows = max(least_rows, -(-longest // BLOCKS_PER_PARTITION))
     partition = F.shiftright("_id", _INDEX_BITS)
     return table.select(
         *df.columns,
-        (partition * BLOCKS_PER_PARTITION + F.floor(index / rows)).alias(BLOCK),
-        (index % rows).alias(INDEX),
+        (F.shiftleft(partition, _BLOCK_BITS) + F.floor(index / block_rows)).alias(BLOCK),
+        (index % block_rows).alias(INDEX),
     )
 
 
 def _with_start(blocks: DataFrame) -> DataFrame:
     """Adds ``_position`` (1-based, global) and ``_total`` (rows in all).
 
-    The windows see one row per block.
+    The windows see one row per block: first those of a partition, then one
+    row per partition.
     """
-    before = Window.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy(BLOCK).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    starts = (
-        blocks.groupBy(BLOCK)
-        .agg(F.count("*").alias("_rows"))
-        .select(
-            BLOCK,
-            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
-            F.sum("_rows").over(everything).alias("_total"),
-        )
-    )
-    return blocks.join(F.broadcast(starts), BLOCK).withColumn(
-        "_position", F.col("_start") + F.col(INDEX) + 1
-    )
+    part = F.shiftright(BLOCK, _BLOCK_BITS)
+    counts = materialize(blocks.groupBy(BLOCK).agg(F.count("*").alias("_rows")).withColumn("_part", part), "blocks")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    parts = counts.groupBy("_part").agg(F.sum("_rows").alias("_rows")).select(
+        "_part",
+        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_part_start"),
+        F.sum("_rows").over(everything).alias("_total"),
+    )
+    within = Window.partitionBy("_part").orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(
+        BLOCK, "_part", F.coalesce(F.sum("_rows").over(within), F.lit(0)).alias("_block_start")
+    ).join(parts, "_part")
+    written = materialize(
+        starts.select(BLOCK, (F.col("_part_start") + F.col("_block_start")).alias("_start"), "_total"), "starts"
+    )
+    # One row per block on the right; Catalyst broadcasts the table when it is small.
+    return blocks.join(written, BLOCK).withColumn("_position", F.col("_start") + F.col(INDEX) + 1)
 
 
 def dense_key(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
@@ -104,7 +115,7 @@ def running_sums(
     group: Sequence[str],
     order: Sequence[str | Column],
     sums: Mapping[str, Column],
-    least_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Adds, per group, the sums from its first row to the current one.
 
@@ -112,7 +123,7 @@ def running_sums(
     that part added. At most one group per block does.
     """
     inputs = {f"_in_{name}": value for name, value in sums.items()}
-    blocks = ordered_blocks(df.withColumns(inputs), [*group, *order], least_rows)
+    blocks = ordered_blocks(df.withColumns(inputs), [*group, *order], block_rows)
     earlier = Window.partitionBy(*group).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         blocks.groupBy(BLOCK, *group)
@@ -132,7 +143,8 @@ def running_sums(
     inside = blocks.withColumns(
         {f"_local_{name}": F.sum(f"_in_{name}").over(local) for name in sums}
     )
-    joined = join_null_safe(inside, F.broadcast(carried), [BLOCK, *group], "left")
+    # At most one row per block; Catalyst broadcasts the table when it is small.
+    joined = join_null_safe(inside, materialize(carried, "carried"), [BLOCK, *group], "left")
     return joined.select(
         *df.columns,
         *[_add(F.col(f"_local_{name}"), F.col(f"_from_{name}")).alias(name) for name in sums],
@@ -182,31 +194,20 @@ def moving_sums(
     )
 
 
-def value_counts(
-    df: DataFrame, group: Sequence[str], value: str, small_rows: int = SMALL_ROWS
-) -> tuple[DataFrame, bool]:
-    """``_count`` per group and value, written once, and whether the table is
-    small enough to broadcast.
+def value_counts(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    """``_count`` per group and value, written once.
 
     Equal rows collapse before the shuffle, so a hot value or group costs one
     row per task.
     """
-    counts = materialize(
+    return materialize(
         df.groupBy(*group, value).agg(F.count("*").alias("_count")), "value_counts"
     )
-    return counts, counts.count() <= small_rows
 
 
-def cumulative_counts(
-    counts: DataFrame, group: Sequence[str], value: str, small: bool
-) -> DataFrame:
+def cumulative_counts(counts: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     """Adds ``_upto``: the rows of the group with a value up to this one."""
-    if not small:
-        return running_sums(counts, group, [value], {"_upto": F.col("_count")})
-    upto = Window.partitionBy(*group).orderBy(value).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    return counts.withColumn("_upto", F.sum("_count").over(upto))
+    return running_sums(counts, group, [value], {"_upto": F.col("_count")})
 
 
 def group_totals(counts: DataFrame, group: Sequence[str], name: str) -> DataFrame:
@@ -220,27 +221,27 @@ def percent_rank(
     value: str,
     name: str,
     digits: int | None = None,
-    small_rows: int = SMALL_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Adds PERCENT_RANK of ``value`` in the group, ascending, nulls first; with
     ``digits`` as a percentage rounded to that many places.
 
     The rank of a row follows from counts per distinct value; the rows
     themselves are neither sorted nor, for a small table of values, shuffled.
+    ``counted`` has the same rows where ``df`` is costly to run.
     """
-    counts, small = value_counts(df, group, value, small_rows)
-    ranked = cumulative_counts(counts, group, value, small)
+    counts = value_counts(df if counted is None else counted, group, value)
+    ranked = cumulative_counts(counts, group, value)
     totals = group_totals(counts, group, "_n")
     below, others = F.col("_upto") - F.col("_count"), F.col("_n") - 1
     if digits is None:
         share = F.try_divide(below.cast("double"), others.cast("double"))
     else:
         share = rounded_ratio(below * 100, others, digits)
+    keys = [*group, value]
     # A row alone in its group has rank 0.
-    shares = join_null_safe(ranked, totals, group, "inner").select(
-        *group, value, F.coalesce(share, F.lit(0)).alias(name)
+    shares = materialize(
+        join_null_safe(ranked, totals, group, "inner").select(*keys, F.coalesce(share, F.lit(0)).alias(name)), "shares"
     )
-    keys = [*group, value]
-    if small:
-        return join_null_safe(df, F.broadcast(shares), keys, "inner")
-    return skew_join(df, shares, keys, "inner", null_safe=True)
+    frequencies = counts.withColumnRenamed("_count", "_rows")
+    return skew_join(df, shares, keys, "inner", null_safe=True, frequencies=lambda: frequencies)

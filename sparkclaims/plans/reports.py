@@ -18,6 +18,7 @@ from sparkclaims.operators.grouping import cube_labelled, rollup_labelled
 from sparkclaims.operators.joins import skew_join
 from sparkclaims.operators.positions import global_ntile, moving_sums, percent_rank, running_sums
 from sparkclaims.plans.star import ClaimStar, aggregate, count_claims, fraud_claims, score_sums
+from sparkclaims.storage import materialize
 from sparkclaims.storage import local_table
 
 CLAIM_TYPE_TEXTS = {
@@ -226,11 +227,14 @@ def fraud_percentile(
     score over seven claims around it by date."""
     shown = dict.fromkeys([*keep, "claimed_amount", "fraud_score", "status"])
     claims = star.claims.select(*dict.fromkeys([*shown, "policy_id", "date_key", *tie]))
-    placed = skew_join(
-        claims, star.policies.select("policy_id", "policy_type_id"), ["policy_id"], "inner"
+    # The join runs once: what is sorted, sampled and counted is its written result.
+    placed = materialize(
+        skew_join(claims, star.policies.select("policy_id", "policy_type_id"), ["policy_id"], "inner"), "placed"
     )
     around = moving_sums(placed, ["policy_type_id"], ["date_key", *tie], score_sums(), 3, 3)
-    ranked = percent_rank(around, ["policy_type_id"], "fraud_score", "fraud_percentile", digits=2)
+    ranked = percent_rank(
+        around, ["policy_type_id"], "fraud_score", "fraud_percentile", digits=2, counted=placed
+    )
     named = skew_join(
         ranked, star.policy_types.select("policy_type_id", "policy_type_name"), ["policy_type_id"], "inner"
     )

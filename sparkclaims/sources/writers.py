@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 # Years with a partition in the warehouse.
 FIRST_YEAR, LAST_YEAR = 2020, 2024
 SOURCE_SYSTEM = "CRM_SYSTEM"
+# Rows of a clustered file, and the least for which a further task is worth it.
+FILE_ROWS = 4_000_000
+LEAST_FILE_ROWS = 10_000
 
 
 def stage_append(
@@ -75,11 +78,17 @@ def write_by_year(df: DataFrame, path: str) -> None:
     df.hint("rebalance", "year").write.mode("overwrite").partitionBy("year").parquet(path)
 
 
-def write_clustered(df: DataFrame, path: str, cluster: Sequence[str], tie: Sequence[str]) -> None:
-    """Files sorted by ``cluster``: narrow value ranges per row group, which a
-    filter skips. ``tie`` lets one value span many files."""
+def write_clustered(
+    df: DataFrame, path: str, cluster: Sequence[str], tie: Sequence[str], file_rows: int = FILE_ROWS
+) -> None:
+    """Files of about ``file_rows`` rows sorted by ``cluster``: narrow value
+    ranges per row group, which a filter skips. ``tie`` lets one value span
+    many files. The rows are counted first, so their number sets that of the files."""
     order = [*cluster, *tie]
-    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+    wished = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.count()
+    files = max(1, -(-rows // file_rows), min(wished, -(-rows // LEAST_FILE_ROWS)))
+    df.repartitionByRange(files, *order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
 
 
 def write_run_stats(

@@ -25,10 +25,10 @@ def amounts(spark):
     return groups, df
 
 
-@pytest.mark.parametrize("small_rows", [200_000, 0])
-def test_box_stats(amounts, small_rows):
+@pytest.mark.parametrize("bins, sorted_rows", [(4096, 100_000), (4, 3), (2, 1)])
+def test_box_stats(amounts, bins, sorted_rows):
     groups, df = amounts
-    got = {r["s"]: r for r in distribution.box_stats(df, ["s"], "a", small_rows=small_rows).collect()}
+    got = {r["s"]: r for r in distribution.box_stats(df, ["s"], "a", bins=bins, sorted_rows=sorted_rows).collect()}
     assert set(got) == set(groups)
     for name, values in groups.items():
         x = np.array(values)

@@ -30,35 +30,54 @@ def table(spark):
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_salted_join_equals_plain(fact, table, no_broadcast, rows, how):
     plain = fact.join(table, "k", how)
-    salted = skew_join(fact, table, ["k"], how, hot_rows=50, salts=8, may_broadcast=False)
+    salted = skew_join(fact, table, ["k"], how, hot_rows=50, may_broadcast=False)
     assert rows(salted, "id", "k", "x") == rows(plain, "id", "k", "x")
 
 
 def test_salted_null_safe_join(fact, table, spark, no_broadcast, rows):
     right = table.unionByName(spark.createDataFrame([(None, -1)], "k int, x bigint"))
-    got = skew_join(fact, right, ["k"], "inner", null_safe=True, hot_rows=10, salts=4, may_broadcast=False)
+    got = skew_join(fact, right, ["k"], "inner", null_safe=True, hot_rows=10, may_broadcast=False)
     assert got.filter("k IS NULL").select("x").distinct().collect()[0][0] == -1
     assert got.count() == fact.filter("k IS NULL OR k < 30").count()
 
 
 def test_hot_rows_are_spread(fact, table, no_broadcast):
-    salted = skew_join(fact, table, ["k"], "left", hot_rows=50, salts=8, may_broadcast=False)
+    salted = skew_join(fact, table, ["k"], "left", hot_rows=50, may_broadcast=False)
     plan = salted._jdf.queryExecution().optimizedPlan().toString()
     assert "_salt" in plan
     counted = fact.groupBy("k").agg(F.count("*").alias("_rows"))
     # 300 rows of key 7, and those without a key, which match nothing but share a task.
-    assert {r["k"] for r in hot_keys(counted, ["k"], 50).collect()} == {7, None}
+    assert {r["k"]: r["_salts"] for r in hot_keys(counted, ["k"], 50).collect()}.keys() == {7, None}
 
 
 def test_residual_condition(fact, spark, no_broadcast, rows):
     right = spark.createDataFrame([(7, 0, 449, "early"), (7, 450, 900, "late")], "k int, lo int, hi int, w string")
     within = F.col("id").between(F.col("lo"), F.col("hi"))
-    got = skew_join(fact, right, ["k"], "left", residual=within, hot_rows=50, salts=4, may_broadcast=False)
+    got = skew_join(fact, right, ["k"], "left", residual=within, hot_rows=50, may_broadcast=False)
     assert got.count() == 900
     assert got.filter("k = 7 AND w IS NULL").count() == 0
     assert got.filter("w = 'early' AND id >= 450").count() == 0
 
 
+@pytest.mark.parametrize("shuffles", ["2", "8"])
+def test_no_task_gets_more_rows_of_a_key_than_the_target(spark, no_broadcast, shuffles):
+    """1,500 hot keys, and one that has a third of the rows."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+    try:
+        wide = spark.range(30_000).select("id", (F.col("id") % 1500).alias("k")).union(
+            spark.range(15_000).select("id", F.lit(-1).cast("long").alias("k"))
+        )
+        counted = wide.groupBy("k").agg(F.count("*").alias("_rows"))
+        hot = {r["k"]: r["_salts"] for r in hot_keys(counted, ["k"], 10).collect()}
+        assert len(hot) == 1501 and hot[-1] == 1500 and hot[3] == 2
+        right = spark.range(-1, 1500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("x"))
+        got = skew_join(wide, right, ["k"], "inner", hot_rows=10, may_broadcast=False)
+        assert got.count() == 45_000 and got.filter("x <> 2 * k").count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_only_left_and_inner(fact, table):
     with pytest.raises(ValueError):
         skew_join(fact, table, ["k"], "full")

@@ -54,11 +54,11 @@ def by_group(data, key):
     return groups
 
 
-@pytest.mark.parametrize("n, least_rows", [(0, 1), (2, 1), (500, 1), (500, 4096)])
-def test_running_sums(spark, n, least_rows):
+@pytest.mark.parametrize("n, block_rows", [(0, 1), (2, 1), (500, 1), (500, 7), (500, 4096)])
+def test_running_sums(spark, n, block_rows):
     data, df = sample(spark, n)
     sums = {"total": F.col("m"), "known": F.col("v").cast("long")}
-    got = {r["id"]: (r["total"], r["known"]) for r in positions.running_sums(df, ["g"], ["v", "id"], sums, least_rows).collect()}
+    got = {r["id"]: (r["total"], r["known"]) for r in positions.running_sums(df, ["g"], ["v", "id"], sums, block_rows).collect()}
     expected = {}
     for rows in by_group(data, lambda r: (nulls_first(r[2]), r[0])).values():
         total, known = 0, None
@@ -84,10 +84,9 @@ def test_moving_sums(spark, tile_rows):
         positions.moving_sums(df, ["g"], ["id"], {"s": F.col("m")}, 3, 3, tile_rows=2)
 
 
-@pytest.mark.parametrize("small_rows", [positions.SMALL_ROWS, 0])
-def test_percent_rank(spark, no_broadcast, small_rows):
+def test_percent_rank(spark, no_broadcast):
     data, df = sample(spark, 400)
-    ranked = positions.percent_rank(df, ["g"], "v", "p", small_rows=small_rows)
+    ranked = positions.percent_rank(df, ["g"], "v", "p")
     got = {r["id"]: r["p"] for r in ranked.collect()}
     expected = {}
     for rows in by_group(data, lambda r: r[0]).values():
@@ -106,6 +105,21 @@ def test_percent_rank_of_a_single_row(spark):
 def test_hot_group_is_split(spark):
     """One group with equal values still spreads over the blocks."""
     df = spark.range(40_000).select(F.lit("g").alias("g"), F.lit(1).alias("v"), "id").repartition(8)
-    blocks = positions.ordered_blocks(df, ["g", "v", "id"])
+    blocks = positions.ordered_blocks(df, ["g", "v", "id"], block_rows=2_000)
     sizes = [r["count"] for r in blocks.groupBy(positions.BLOCK).count().collect()]
-    assert len(sizes) > 4 and max(sizes) <= positions.BLOCK_ROWS
+    assert len(sizes) >= 20 and max(sizes) <= 2_000
+
+
+@pytest.mark.parametrize("shuffles", ["2", "8"])
+def test_partitions_follow_from_the_rows(spark, shuffles):
+    """Whatever the session's shuffle partitions, none is much over the target."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+    try:
+        df = spark.range(40_000).select(F.lit("g").alias("g"), "id").repartition(4)
+        blocks = positions.ordered_blocks(df, ["g", "id"], block_rows=500, partition_rows=2_000)
+        part = F.shiftright(positions.BLOCK, 24)
+        sizes = [r["count"] for r in blocks.groupBy(part).count().collect()]
+        assert sum(sizes) == 40_000 and len(sizes) >= 18 and max(sizes) <= 4_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
