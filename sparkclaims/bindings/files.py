@@ -54,11 +54,8 @@ def documents(t: Tables) -> DataFrame:
 
 
 def stored_documents(t: Tables) -> DataFrame:
-    """The table of claims as variants, loaded once per application."""
-    return t.loaded(
-        "claim_documents",
-        lambda: docs.parse_variant(documents(t), F.col("document")).select("claim_id", "raw_json"),
-    )
+    """The table of claims as variants."""
+    return docs.parse_variant(documents(t), F.col("document")).select("claim_id", "raw_json")
 
 
 def write_arrays(texts: DataFrame, column: str, path: str) -> None:
@@ -217,7 +214,7 @@ def stage_append(t: Tables):
     """Customers under 40 are staged on one day, the others on the next."""
     path = scratch_path(t.spark, "stage_append")
     rows = t.raw_customers.select("customer_id", "age", "state")
-    for condition, day in [("age < 40", 1), ("age >= 40", 2)]:
+    for condition, day in [("age < 40", 1), ("age >= 40 OR age IS NULL", 2)]:
         writers.stage_append(rows.filter(condition), path, datetime.datetime(2024, 1, day, 6, tzinfo=datetime.timezone.utc))
     return t.spark.read.parquet(path)
 
@@ -310,15 +307,19 @@ def clustered_write(t: Tables):
 
 @query(
     "json_build",
-    """SELECT claim_id, '{"claim_id":"' || claim_id || '","claim_type":"' || claim_type
-         || '","fraud":{"is_fraud":' || CASE WHEN fraud_flag THEN 'true' ELSE 'false' END
-         || ',"days":' || processing_days || '}}' AS document FROM claims""",
+    f"""SELECT claim_id, claim_type, status, CASE WHEN fraud_flag THEN 'true' ELSE 'false' END AS is_fraud,
+         CAST(processing_days AS VARCHAR) AS processing_days, CAST(to_json({FLAGS_SQL}) AS VARCHAR) AS flags FROM claims""",
 )
 def json_build(t: Tables):
-    """A document of the same nesting, with the fields that print alike everywhere."""
-    fraud = F.struct(F.col("fraud_flag").alias("is_fraud"), F.col("processing_days").alias("days"))
-    return t.claims.select(
-        "claim_id", F.to_json(F.struct("claim_id", "claim_type", fraud.alias("fraud"))).alias("document")
+    """The whole document, compared by its fields (numbers print differently elsewhere)."""
+    field = lambda path: F.get_json_object("document", path)
+    return documents(t).select(
+        field("$.claim_id").alias("claim_id"),
+        field("$.metadata.claim_type").alias("claim_type"),
+        field("$.metadata.status").alias("status"),
+        field("$.metadata.fraud_indicators.is_fraud").alias("is_fraud"),
+        field("$.financial.processing_days").alias("processing_days"),
+        field("$.metadata.fraud_indicators.flags").alias("flags"),
     )
 
 
@@ -344,7 +345,7 @@ def json_flatten(t: Tables):
     flagged = typed.filter("is_fraud")
     return docs.flatten_flags(
         flagged, "raw_json", ["claim_id", "fraud_score"], "fraud_indicator_flag"
-    ).orderBy(F.desc_nulls_first("fraud_score"))
+    ).orderBy(F.desc_nulls_first("fraud_score"), "claim_id", "fraud_indicator_flag")
 
 
 def write_source_files(t: Tables, folder: str) -> None:

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from sparkclaims.bindings.registry import query
 from sparkclaims.bindings.tables import Tables
+from sparkclaims.functions.risk import payout_ratio
 from sparkclaims.operators import governance, quality, versions
 from sparkclaims.operators.merge import initial_history
 from sparkclaims.operators.merge import merge_scd1 as upsert
 from sparkclaims.operators.merge import merge_scd2 as add_history
 from sparkclaims.operators.paths import closure, count_paths, expand_paths
-from sparkclaims.plans.star import ClaimStar, aggregate, count_claims
 from sparkclaims.storage import scratch_path
 
 
@@ -153,7 +153,7 @@ def clone_snapshot(t: Tables):
 def dq_report(t: Tables):
     """Claims whose key is neither complete nor unique."""
     key = F.when(F.col("status") != "Rejected", F.col("policy_id"))
-    ratio = F.col("approved_amount").cast("double") / F.col("claimed_amount").cast("double")
+    ratio = payout_ratio(F.col("approved_amount"), F.col("claimed_amount"))
     rows = t.claims.select(key.alias("policy_id"), "line_no", "fraud_score", ratio.alias("payout_ratio"))
     report = quality.quality_report(rows, "fact_claims", ["policy_id", "line_no"])
     return report.withColumn("issue_count", F.size("issues")).drop("issues")
@@ -227,14 +227,24 @@ def mask_customers(t: Tables):
          FROM claims c JOIN agents a ON c.agent_id = a.agent_id GROUP BY 2""",
 )
 def region_rows(t: Tables):
-    """Claims of the agents that an analyst for Asia, and a manager, may see."""
+    """Claims of the agents that an analyst for Asia, and a manager, may see.
+
+    The claims are summed per agent once, for both sessions.
+    """
     def seen(role: str, user: str):
         agents = governance.region_filter(t.agents, "region", role, user, [role])
-        star = ClaimStar(t.claims, t.policies, t.customers, t.policy_types, agents, t.dates)
-        sums = {"claims": count_claims(), "claimed": F.col("claimed_amount")}
-        return aggregate(star, ["region"], sums).withColumn("session_user", F.lit(user))
+        return agents.select("agent_id", "region", F.lit(user).alias("session_user"))
 
-    return seen(governance.ANALYST, "ASIA").unionByName(seen(governance.MANAGER, "MANAGER"))
+    per_agent = t.claims.groupBy("agent_id").agg(
+        F.count("*").alias("claims"), F.sum("claimed_amount").alias("claimed")
+    )
+    return (
+        seen(governance.ANALYST, "ASIA")
+        .unionByName(seen(governance.MANAGER, "MANAGER"))
+        .join(per_agent, "agent_id")
+        .groupBy("session_user", "region")
+        .agg(F.sum("claims").alias("claims"), F.sum("claimed").alias("claimed"))
+    )
 
 
 @query(
@@ -268,24 +278,25 @@ def role_closure(t: Tables):
     )
 
 
-_AGENT_COLUMNS = ["agent_id", "agent_name", "territory"]
+_AGENT_COLUMNS = ["agent_id", "agent_name", "nation"]
 
 
 @query(
     "agent_paths",
     """WITH RECURSIVE chain AS (
-         SELECT agent_id, agent_name, territory, CAST(1 AS BIGINT) AS level, CAST(agent_id AS VARCHAR) AS path
+         SELECT agent_id, agent_name, nation, CAST(1 AS BIGINT) AS level, CAST(agent_id AS VARCHAR) AS path
          FROM agents WHERE experience_years > 17
          UNION ALL
-         SELECT a.agent_id, a.agent_name, a.territory, h.level + 1, h.path || ' -> ' || a.agent_id
-         FROM agents a JOIN chain h ON a.territory = h.territory AND a.agent_id <> h.agent_id
+         SELECT a.agent_id, a.agent_name, a.nation, h.level + 1, h.path || ' -> ' || a.agent_id
+         FROM agents a JOIN chain h ON a.nation = h.nation AND a.agent_id <> h.agent_id
          WHERE h.level < 3)
-       SELECT DISTINCT agent_id, agent_name, territory, level, path FROM chain""",
+       SELECT DISTINCT agent_id, agent_name, nation, level, path FROM chain""",
 )
 def agent_paths(t: Tables):
-    """Chains within a territory, which holds at most 20 agents."""
+    """Chains within a nation: every path is a row, so the result is cubic in the
+    agents of a nation. ``count_paths`` counts them for larger groups."""
     experts = t.agents.filter("experience_years > 17").select(*_AGENT_COLUMNS)
-    return expand_paths(t.agents.select(*_AGENT_COLUMNS), experts, "agent_id", "territory")
+    return expand_paths(t.agents.select(*_AGENT_COLUMNS), experts, "agent_id", "nation")
 
 
 @query(

@@ -78,7 +78,7 @@ def stream_ingest(t: Tables):
         F.col("claim_date").cast("string").alias("claim_date"),
         "claim_type", "claimed_amount", "fraud_flag",
     )
-    for part, condition in [(1, "claim_date < '2024-01-16'"), (2, "claim_date >= '2024-01-16'")]:
+    for part, condition in [(1, "claim_date < '2024-01-16'"), (2, "claim_date >= '2024-01-16' OR claim_date IS NULL")]:
         write_csv(rows.filter(condition), f"{path}/files/{part}")
         streams.ingest_csv(
             t.spark, f"{path}/files/*", INGEST_ROWS, f"{path}/data", f"{path}/checkpoint"

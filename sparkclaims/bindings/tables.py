@@ -1,14 +1,12 @@
 """The test tables seen as claims, policies, customers and agents.
 
 The same views are stated twice: as DataFrames and as SQL for the check.
-Claims and policies are projections of their tables. The dimensions are loaded
-once per application into the shared folder, as a warehouse load would do.
+All are projections of their tables, built anew for each query, so a query
+always sees the tables as they are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,15 +15,11 @@ from sparkclaims.functions.columns import date_key, fill_unknown, full_name
 from sparkclaims.functions.dates import date_dimension
 from sparkclaims.plans.etl import with_bands
 from sparkclaims.plans.star import ClaimStar
-from sparkclaims.storage import materialize
 
 # Columns that together identify a claim.
 TIE = ["policy_id", "line_no", "part_id", "agent_id", "claimed_amount", "claim_date"]
 TIE_SQL = ", ".join(TIE)
 
-_dimensions: dict[tuple[str, str, str], DataFrame] = {}
-
-
 class Tables:
     """The views over one folder of Parquet tables."""
 
@@ -35,12 +29,6 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def loaded(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self.folder, name)
-        if key not in _dimensions:
-            _dimensions[key] = materialize(build(), name)
-        return _dimensions[key]
-
     @property
     def claims(self) -> DataFrame:
         claimed = F.col("l_extendedprice").cast("decimal(15,2)")
@@ -98,55 +86,39 @@ class Tables:
 
     @property
     def customers(self) -> DataFrame:
-        return self.loaded(
-            "customers",
-            lambda: fill_unknown(with_bands(self.raw_customers), ["gender", "marital_status"])
-            .withColumn("full_name", full_name(F.col("first_name"), F.col("last_name"))),
-        )
+        filled = fill_unknown(with_bands(self.raw_customers), ["gender", "marital_status"])
+        return filled.withColumn("full_name", full_name(F.col("first_name"), F.col("last_name")))
 
     @property
     def agents(self) -> DataFrame:
-        """Agents; a territory holds at most 20 of them, a region any number."""
         key = F.col("s_suppkey")
         places = self.raw("nation").join(
             self.raw("region"), F.col("n_regionkey") == F.col("r_regionkey")
         ).select(F.col("n_nationkey").alias("s_nationkey"), "n_name", "r_name")
-        return self.loaded(
-            "agents",
-            lambda: self.raw("supplier").join(places, "s_nationkey").select(
-                key.alias("agent_id"),
-                F.col("s_name").alias("agent_name"),
-                F.col("r_name").alias("region"),
-                F.col("n_name").alias("nation"),
-                F.floor(key / 20).alias("territory"),
-                (key % 19 + 1).cast("int").alias("experience_years"),
-            ),
+        return self.raw("supplier").join(places, "s_nationkey").select(
+            key.alias("agent_id"),
+            F.col("s_name").alias("agent_name"),
+            F.col("r_name").alias("region"),
+            F.col("n_name").alias("nation"),
+            (key % 19 + 1).cast("int").alias("experience_years"),
         )
 
     @property
     def policy_types(self) -> DataFrame:
         kind = F.col("policy_type_id")
-        return self.loaded(
-            "policy_types",
-            lambda: self.policies.select(kind).distinct().select(
-                kind,
-                F.substring(kind, 3, 20).alias("policy_type_name"),
-                F.when(F.substring(kind, 1, 1).isin("1", "2"), "Fast")
-                .when(F.substring(kind, 1, 1) == "3", "Normal")
-                .otherwise("Slow")
-                .alias("category"),
-            ),
+        return self.policies.select(kind).distinct().select(
+            kind,
+            F.substring(kind, 3, 20).alias("policy_type_name"),
+            F.when(F.substring(kind, 1, 1).isin("1", "2"), "Fast")
+            .when(F.substring(kind, 1, 1) == "3", "Normal")
+            .otherwise("Slow")
+            .alias("category"),
         )
 
     @property
     def dates(self) -> DataFrame:
-        return self.loaded(
-            "dates",
-            lambda: date_dimension(
-                self.claims.agg(F.min("claim_date").alias("d0"), F.max("claim_date").alias("d1")),
-                "d0", "d1", fiscal_start_month=4,
-            ),
-        )
+        span = self.claims.agg(F.min("claim_date").alias("d0"), F.max("claim_date").alias("d1"))
+        return date_dimension(span, "d0", "d1", fiscal_start_month=4)
 
     @property
     def star(self) -> ClaimStar:
@@ -237,7 +209,7 @@ VIEWS = {
           WHEN credit_score > 799 AND credit_score <= 850 THEN 'Excellent' END AS credit_band
       FROM raw_customers""",
     "agents": """SELECT s_suppkey AS agent_id, s_name AS agent_name, r_name AS region,
-        n_name AS nation, s_suppkey // 20 AS territory,
+        n_name AS nation,
         s_suppkey % 19 + 1 AS experience_years
       FROM supplier JOIN nation ON s_nationkey = n_nationkey
       JOIN region ON n_regionkey = r_regionkey""",

@@ -67,7 +67,7 @@ def quality_report(
         F.when(
             F.col(f"null_pct_{key}") > null_tolerance,
             F.format_string(
-                f"Column '{key}' has %.1f%% nulls (threshold={null_tolerance:.0%}%)",
+                f"{key}: %.1f%% of the values are missing, {null_tolerance:.0%}% may be",
                 F.col(f"null_pct_{key}") * 100,
             ),
         )
@@ -76,12 +76,12 @@ def quality_report(
     issues.append(
         F.when(
             F.col("duplicates") > 0,
-            F.format_string(f"Found %d duplicate rows on {list(keys)}", F.col("duplicates")),
+            F.format_string(f"%d rows repeat a key of {', '.join(keys)}", F.col("duplicates")),
         )
     )
     texts = {
-        "fraud_score_out_of_range": "fraud_score out of [0,1]: %d rows",
-        "negative_payout_ratio": "Negative payout_ratio: %d rows",
+        "fraud_score_out_of_range": "%d fraud scores outside 0 to 1",
+        "negative_payout_ratio": "%d payout ratios under 0",
     }
     issues += [
         F.when(F.col(name) > 0, F.format_string(texts[name], F.col(name))) for name in bad

@@ -8,14 +8,19 @@ of executors and is read back with column pruning.
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
 _fallback: dict[str, str] = {}
+# The folder of the innermost ``scratch`` block.
+_owner: contextvars.ContextVar[str | None] = contextvars.ContextVar("scratch", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -39,7 +44,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path of this application that no other call gets."""
-    return f"{_application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_owner.get() or _application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Owns the scratch tables written inside: they are deleted at its end.
+
+    Write or collect a result before leaving the block; it may read them.
+    """
+    folder = f"{_application_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    before = _owner.set(folder)
+    try:
+        yield folder
+    finally:
+        _owner.reset(before)
+        _delete(spark, folder)
 
 
 def _application_dir(spark: SparkSession) -> str:
@@ -60,12 +80,12 @@ def local_table(spark: SparkSession, columns: dict[str, list], schema: str) -> D
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over every core, for costly row work on an input of few splits.
+    """Rows over every core, for costly row work on an input of few files.
 
-    An input that already has as many splits as cores is not shuffled.
+    An input of as many files as cores is not shuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
 
 
 def release_scratch(spark: SparkSession) -> bool:
@@ -73,6 +93,9 @@ def release_scratch(spark: SparkSession) -> bool:
 
     Call it at the end, when no returned DataFrame is read any more.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.delete(path, True)
+    return _delete(spark, _application_dir(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

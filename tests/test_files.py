@@ -192,7 +192,7 @@ def test_failed_check_stops_the_load(spark, source, tmp_path):
     lines = path.read_text().splitlines()
     path.write_text("\n".join([*lines, lines[1]]) + "\n")
     target = tmp_path / "out"
-    with pytest.raises(ValueError, match="duplicate"):
+    with pytest.raises(ValueError, match="repeat a key"):
         etl.run(spark, str(source), str(target), AS_OF)
     assert [p.name for p in target.iterdir()] == ["run_log"]
     log = spark.read.json(f"{target}/run_log").first()

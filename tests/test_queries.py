@@ -7,7 +7,9 @@ import pytest
 import __spark_entry__ as bound
 import check
 
-FOLDER = "/root/testdata/sf0.001"
+from sparkclaims.bindings.registry import ORACLES, QUERIES
+
+FOLDER, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +18,7 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(bound.queries()) == set(bound.oracle_sql())
+    assert set(QUERIES) == set(ORACLES) and set(QUERIES) <= set(bound.queries())
 
 
 def test_entry(spark):
@@ -24,13 +26,55 @@ def test_entry(spark):
 
 
 # The smallest tables hold no row for these.
-EMPTY = {"agent_paths", "agent_path_counts", "mv_fraud_query"}
+SPARSE = {"agent_paths", "agent_path_counts", "mv_fraud_query"}
 
 
-@pytest.mark.parametrize("name", sorted(bound.queries()))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SPARSE))
 def test_query(spark, connection, name):
-    expected = "no rows" if name in EMPTY else ""
-    assert check.difference(spark, connection, FOLDER, name) == expected
+    assert check.difference(spark, connection, FOLDER, name) == ""
+
+
+@pytest.mark.parametrize("name", sorted(SPARSE))
+def test_query_on_more_rows(spark, name):
+    assert check.difference(spark, check.duck(LARGER), LARGER, name) == ""
+
+
+SORTED = {
+    # The columns by which each report is stated to be sorted, '-' for descending.
+    "json_flatten": ["-fraud_score", "claim_id", "fraud_indicator_flag"],
+}
+
+
+@pytest.mark.parametrize("name", sorted(SORTED))
+def test_order(spark, name):
+    rows = bound.queries()[name](spark, FOLDER).collect()
+    keys = [tuple((r[c.lstrip("-")] * -1 if c[0] == "-" else r[c]) for c in SORTED[name]) for r in rows]
+    assert len(keys) > 1 and keys == sorted(keys)
+
+
+def test_queries_see_a_changed_table(spark, tmp_path):
+    """Nothing of an earlier query is kept, and released scratch is not read again."""
+    from sparkclaims import storage
+
+    folder = tmp_path / "tables"
+    folder.mkdir()
+    for name in ("customer", "nation"):
+        spark.read.parquet(f"{FOLDER}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    with storage.scratch(spark):
+        few = QUERIES["band_age"](spark, str(folder)).count()
+    spark.read.parquet(f"{LARGER}/customer.parquet").write.mode("overwrite").parquet(f"{folder}/customer.parquet")
+    assert QUERIES["band_age"](spark, str(folder)).count() > few > 0
+
+
+def test_scratch_is_deleted(spark):
+    import os
+
+    from sparkclaims import storage
+
+    with storage.scratch(spark) as folder:
+        table = storage.materialize(spark.range(3), "x")
+        assert table.count() == 3 and os.path.isdir(folder.removeprefix("file:"))
+    assert not os.path.exists(folder.removeprefix("file:"))
 
 
 LARGE = [
