@@ -27,7 +27,7 @@ from sparkclaims.llm.arrow import slices
 from sparkclaims.storage import materialize
 
 ORDER = 5
-LEAST_SHARE = 2.0**-17
+LEAST_SHARE = 2.0**-18
 #: Ends a text and stands before it; no UTF-8 text has this byte.
 EDGE = 0xFF
 #: Words whose counts every task holds; the counts of others are joined.
