@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +35,19 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def _root_on_workers(spark: SparkSession) -> None:
+    """Python workers of a local session find the package as the driver does.
+
+    On a cluster the package is shipped with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in paths.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in (root, paths) if p)
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
+    _root_on_workers(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/documents.parquet")
 
 

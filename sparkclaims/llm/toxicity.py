@@ -288,13 +288,30 @@ def fit(
     n, p = F.col("toxic") + F.col("clean"), F.col("toxic") / (F.col("toxic") + F.col("clean"))
     bound = (p + z2 / (2 * n) - F.sqrt(z2 * (p * (1 - p) / n + z2 / (4 * n * n)))) / (1 + z2 / n)
     best = (
-        votes.select("beginning", bound.alias("bound"))
+        votes.select("beginning", "toxic", bound.alias("bound"))
         .filter(F.col("bound") > base)
         .orderBy(F.col("bound").desc(), "beginning")
         .limit(model_size)
         .toPandas()
     )
-    return Model(characters, dict(zip(best["beginning"], best["bound"].tolist())), min(base, 0.49))
+    bounds = dict(zip(best["beginning"], best["bound"].tolist()))
+    weights = dict(zip(best["beginning"], best["toxic"].tolist()))
+    return Model(characters, _specific(bounds, weights), min(base, 0.49))
+
+
+def _specific(bounds: dict[str, float], weights: dict[str, float]) -> dict[str, float]:
+    """``bounds`` without those beginnings that one longer beginning explains better.
+
+    It has nine tenths of the shorter one's toxic documents and a higher bound:
+    other words that begin like the shorter one are then not held against a text.
+    """
+    explained = {
+        shorter
+        for longer, bound in bounds.items()
+        for shorter in {longer.rstrip("$")[:k] for k in (4, 5, 6)} - {longer}
+        if shorter in bounds and bound > bounds[shorter] and weights[longer] >= 0.9 * weights[shorter]
+    }
+    return {beginning: bound for beginning, bound in bounds.items() if beginning not in explained}
 
 
 def score_text(text: bytes, known: dict[str, float]) -> float:
