@@ -136,7 +136,8 @@ def _with_sets(docs: DataFrame, members: DataFrame, id_col: str, text_col: str,
             ).filter(pa.array(same, pa.bool_()))
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    found = rows.join(members, rows.doc_id.eqNullSafe(members.some_id)).select(
+    # The members grow with the input, so they are never broadcast.
+    found = rows.join(members.hint("merge"), rows.doc_id.eqNullSafe(members.some_id)).select(
         "digest", "node", "cluster", "text"
     )
     return found.mapInArrow(collect, "node long, cluster long, shingles array<long>")
