@@ -130,7 +130,7 @@ def _surrogate(key: str) -> Column:
         *[
             F.when(
                 given.isin(*listed.split()),
-                F.concat(_pick(listed, _number(draw, 0, len(listed.split()))), F.lit(" "), _surname(script, draw)),
+                F.concat(_other(listed, _number(draw, 0, len(listed.split())), given), F.lit(" "), _surname(script, draw)),
             )
             for (_, script), listed in GIVEN.items()
         ]
@@ -149,12 +149,18 @@ def _pick(listed: str, at: Column) -> Column:
     return F.element_at(F.array(*[F.lit(name) for name in listed.split()]), (at + 1).cast("int"))
 
 
+def _other(listed: str, at: Column, own: Column) -> Column:
+    """The name at a place of the list, or the next one if that is the own name."""
+    drawn = _pick(listed, at)
+    return F.when(drawn == own, _pick(listed, (at + 1) % len(listed.split()))).otherwise(drawn)
+
+
 def _surname(script: str, draw: Column) -> Column:
-    """A surname of the script; every sixth further draw joins one more."""
-    listed = SURNAMES[script]
+    """A surname of the script, not the own; every sixth further draw joins one more."""
+    listed, own = SURNAMES[script], F.substring_index("canon", " ", -1)
     parts = F.transform(
         F.sequence(F.lit(1), 1 + F.floor((F.col("attempt") + 5) / 6).cast("int")),
-        lambda k: _pick(listed, _number(draw, k, len(listed.split()))),
+        lambda k: _other(listed, _number(draw, k, len(listed.split())), own),
     )
     return F.array_join(parts, "-")
 

@@ -99,12 +99,12 @@ def character_model(texts: DataFrame) -> np.ndarray:
 
 
 def decode(span: str, model: np.ndarray) -> str:
-    """The likeliest text behind ``span`` (lower case; a break where no letter is meant)."""
+    """The likeliest text behind ``span``, in lower case; a sign that stands for no letter stays."""
     states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
     before = ""
     for sign in span.lower():
         kind = _CLASS.get(sign, 1 if sign.isalpha() else 0)
-        steps: list[tuple[str, int, float]] = [(sign, kind, 0.0)] if kind else [(" ", 0, LITERAL if sign in LOOK_ALIKE else 0.0)]
+        steps: list[tuple[str, int, float]] = [(sign, kind, 0.0)] if kind else [(sign, 0, LITERAL if sign in LOOK_ALIKE else 0.0)]
         steps += [(letter, _CLASS[letter], SWAPPED) for letter in LOOK_ALIKE.get(sign, "")]
         silent = SPACED if sign in SEPARATORS else REPEATED if sign == before and kind else None
         following: dict[tuple[int, int], tuple[float, str]] = {}
