@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import time
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ from sparkclaims.operators.positions import dense_key
 from sparkclaims.operators.quality import quality_report, require_quality
 from sparkclaims.sources.readers import read_source_tables
 from sparkclaims.sources.writers import write_run_stats, write_tables
+from sparkclaims.storage import delete_folder, materialize, publish, scratch
 
 
 def with_bands(customers: DataFrame, missing: str | None = None) -> DataFrame:
@@ -142,17 +144,29 @@ def run(
 ) -> dict[str, int]:
     """Load the source files into ``target`` and return the rows per table.
 
-    Nothing is written when a check fails. The run record in
-    ``target/run_log`` is written whatever happens.
+    The source files are parsed once, into typed tables of the shared scratch
+    folder. All tables are written beside the old ones and put in their place
+    at the end, so nothing changes when a check or a write fails. The run
+    record in ``target/run_log`` is written whatever happens.
     """
     started, clock = datetime.datetime.now(), time.monotonic()
     rows: dict[str, int] = {}
     error = None
     try:
-        tables = read_source_tables(spark, source)
-        for report in checks(tables):
-            require_quality(report)
-        rows = write_tables(transform(tables, as_of or started.date()), target, kind)
+        with scratch(spark):
+            sources = read_source_tables(spark, source)
+            tables = {name: materialize(table, f"staged-{name}") for name, table in sources.items()}
+            for report in checks(tables):
+                require_quality(report)
+            loading = f"{target}/_loading-{uuid.uuid4().hex}"
+            try:
+                written = write_tables(transform(tables, as_of or started.date()), loading, kind)
+                for name in written:
+                    file = f"{name}.csv" if kind == "csv" else name
+                    publish(spark, f"{loading}/{file}", f"{target}/{file}")
+            finally:
+                delete_folder(spark, loading)
+        rows = written
         return rows
     except Exception as problem:
         error = str(problem)

@@ -59,7 +59,7 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _owner.reset(before)
-        _delete(spark, folder)
+        delete_folder(spark, folder)
 
 
 def _application_dir(spark: SparkSession) -> str:
@@ -93,9 +93,25 @@ def release_scratch(spark: SparkSession) -> bool:
 
     Call it at the end, when no returned DataFrame is read any more.
     """
-    return _delete(spark, _application_dir(spark))
+    return delete_folder(spark, _application_dir(spark))
 
 
-def _delete(spark: SparkSession, folder: str) -> bool:
+def _path(spark: SparkSession, folder: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def delete_folder(spark: SparkSession, folder: str) -> bool:
+    """Delete a folder with all its files; False if there is none."""
+    path, files = _path(spark, folder)
+    return files.delete(path, True)
+
+
+def publish(spark: SparkSession, written: str, folder: str) -> None:
+    """Put a written folder in the place of ``folder`` (a rename, no copy)."""
+    path, files = _path(spark, written)
+    target, _ = _path(spark, folder)
+    files.mkdirs(target.getParent())
+    files.delete(target, True)
+    if not files.rename(path, target):
+        raise OSError(f"{written} could not be renamed to {folder}")

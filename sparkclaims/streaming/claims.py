@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sparkclaims.functions.columns import rounded_avg
 from sparkclaims.functions.risk import alert_level, flag_count
 from sparkclaims.schemas import CLAIM_STREAM
+from sparkclaims.storage import delete_folder
 
 WATERMARK = "10 minutes"
 
@@ -97,10 +98,14 @@ def append_to_files(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery
 
 
 def complete_to_files(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write the whole result of each micro-batch to ``path/batch=<n>``."""
+    """Write the whole result of each micro-batch to ``path/batch=<n>``.
+
+    The result before it stays for those who read it; older ones are deleted.
+    """
 
     def save(result: DataFrame, batch: int) -> None:
         result.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        delete_folder(result.sparkSession, f"{path}/batch={batch - 2}")
 
     return (
         df.writeStream.outputMode("complete")
