@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkclaims.llm import hashing
@@ -114,10 +114,20 @@ def _tables(groups: int) -> Column:
 
 
 def _met(nodes: DataFrame, groups: int) -> DataFrame:
-    """Links a, b of documents that met in a table: each with the smallest of the table's key."""
+    """Links a, b that join the documents which met in a table.
+
+    A document meets the smallest one of each of its tables. It is linked to
+    the smallest of those, and so are they, which keeps what is joined: about
+    one link per document, since few documents are the smallest of a table.
+    """
     keyed = nodes.select(F.col("node").alias("a"), F.explode(_tables(groups)).alias("key"))
     first = keyed.groupBy("key").agg(F.min("a").alias("b"), F.count("*").alias("n")).filter("n > 1")
-    return keyed.join(first, "key").filter("a <> b").select("a", "b").distinct()
+    met = keyed.join(first, "key").filter("a <> b").select("a", "b").distinct()
+    # At most as many rows per window as there are tables.
+    least = materialize(met.withColumn("least", F.min("b").over(Window.partitionBy("a"))), "met")
+    own = least.select("a", F.col("least").alias("b"))
+    others = least.filter("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    return own.union(others).distinct()
 
 
 def _with_sets(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
