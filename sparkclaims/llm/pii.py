@@ -52,7 +52,9 @@ PATTERNS = {
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
     "name": rf"(?<![\p{{L}}])(?:(?:{_TITLE_ANY})\.? )?(?:{_GIVEN_ANY}) {_SURNAME}(?![\p{{L}}])",
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+# Inside a word of small letters no entity begins, so nothing is tried there.
+_BEGIN = r"(?:(?=[0-9+(.%_\-\p{Lu}])|(?<![0-9A-Za-z])(?=[a-z]))"
+ANY = _BEGIN + "(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
 
 
 def _kind(mention: Column) -> Column:
