@@ -286,3 +286,15 @@ def test_toxicity_held_out(spark):
     held = [(r["toxic"], got[r["doc_id"]]["predicted"]) for r in labels if got[r["doc_id"]]["held_out"]]
     assert sum(a == b for a, b in held) >= 0.9 * len(held)
     assert sum(a == 0 and b == 1 for a, b in held) <= 0.03 * len(held)
+
+
+def test_ppm_keeps_rare_contexts(documents):
+    """A context seen twice among many others costs what all its counts say, held by tasks or joined."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(3000)]
+    rows = [(k, " ".join(words[5 * k % 3000 : 5 * k % 3000 + 40])) for k in range(1500)]
+    exact = model_probability([t.encode() for k, t in rows if fold(k, 7) != 2], ppm.ORDER)
+    for hot in (ppm.HOT, 500, 0):
+        got = {r["doc_id"]: r["score"] for r in ppm.score(documents(*rows), hot=hot).collect()}
+        for key, text in rows[::50]:
+            assert got[key] == pytest.approx(exact(text.encode()), rel=1e-9)
