@@ -36,6 +36,30 @@ TEMPLATES = {
     "GPL-3.0 notice": "This work is licensed under the GNU General Public License, version 3.",
     "CC-BY-4.0 notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-SA-4.0 notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-NC-4.0 notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
+    "International License.",
+    "CC-BY-ND-4.0 notice": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 "
+    "International License.",
+    "CC-BY-NC-SA-4.0 notice": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 "
+    "International License.",
+    "CC-BY-NC-ND-4.0 notice": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 "
+    "International License.",
+    "CC-BY-4.0 short": "Licensed under CC BY 4.0.",
+    "CC-BY-SA-4.0 short": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-NC-4.0 short": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-ND-4.0 short": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA-4.0 short": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0 short": "Licensed under CC BY-NC-ND 4.0.",
+    "CC0-1.0 short": "Licensed under CC0 1.0.",
+    "CC0-1.0 waiver": "has waived all copyright and related or neighboring rights to",
+    # The words that set these apart: their further text is also that of the GPL or BSD-2-Clause.
+    "LGPL notice": "under the terms of the GNU Lesser General Public License as published by",
+    "AGPL notice": "under the terms of the GNU Affero General Public License as published by",
+    "BSD-3-Clause": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
+    "or promote products derived from this software without specific prior written permission.",
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, "
+    "modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+    "binary, for any purpose, commercial or non-commercial, and by any means.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of "
     "the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "

@@ -118,6 +118,22 @@ def test_license_edges(documents):
     assert license_scan.scan(documents(*rows), templates={}).collect() == []
 
 
+def test_license_lines_of_the_tables_are_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lines = docs.filter(F.col("text").rlike("(?i)(licensed|released) under (the|a|cc)"))
+    found = {r["doc_id"] for r in license_scan.scan(lines).collect()}
+    some = {r["doc_id"] for r in lines.select("doc_id").collect()}
+    assert len(some) >= 39 and found == some
+
+
+def test_each_license_is_told_from_its_kin(documents):
+    kin = [n for n in license_scan.TEMPLATES if n.startswith(("CC", "LGPL", "AGPL", "Unlicense", "BSD"))]
+    kin.append("GPL-3.0")
+    rows = [(k, "intro words here " + license_scan.TEMPLATES[n] + " and more words") for k, n in enumerate(kin)]
+    got = sorted((r["doc_id"], r["template"]) for r in license_scan.scan(documents(*rows)).collect())
+    assert got == list(enumerate(kin))
+
+
 def test_license_bands_meet_their_promise():
     miss = (1 - license_scan.LEAST_SIMILARITY) ** license_scan.BANDS
     assert miss <= license_scan.MISS
