@@ -14,6 +14,8 @@ from sparkclaims.llm.queries import documents, labels
 from sparkclaims.storage import materialize
 
 REJECTED = 0.5
+#: Least similarity of near copies, and bands of a side: a pair at it is missed with at most 2e-4.
+NEAR_PERCENT, NEAR_GROUPS = 80, 9
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,8 +30,8 @@ def drop_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
-    return near_dedup.drop_near_copies(docs)
+    """Of each group of near copies (similarity 0.8 or more) the document with the smallest id stays."""
+    return near_dedup.drop_near_copies(docs, percent=NEAR_PERCENT, groups=NEAR_GROUPS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -325,11 +325,17 @@ def near_groups(
     return result.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_copies(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    percent: int = PERCENT,
+    groups: int = GROUPS,
+) -> DataFrame:
     """One row of each component stays: that with the smallest id.
 
     Of rows that repeat an id, any one of the equal ones stays; a row with a
     null id stays unless an equal set has one that is not null.
     """
-    kept = near_groups(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
+    kept = near_groups(docs, id_col, text_col, percent=percent, groups=groups).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
     return docs.join(kept, docs[id_col].eqNullSafe(F.col("_kept_id")), "left_semi")

@@ -72,6 +72,24 @@ def test_near_copies_edges(documents):
     assert kept.columns == docs.columns
 
 
+def test_the_stage_drops_copies_from_80_percent_on(spark, documents):
+    """Pairs with one changed word: 5 of n + 1 shingles differ, so n = 45 to 60 are between 0.80 and 0.85."""
+    import corpus_pipeline
+
+    rows = []
+    for k, n in enumerate([*range(50, 60)] * 3):
+        words = [f"d{k}w{j}" for j in range(n)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join([*words[:20], "changed", *words[21:]]))]
+    for k in (1000, 1002):
+        words = [f"d{k}w{j}" for j in range(44)]
+        rows += [(k, " ".join(words)), (k + 1, " ".join([*words[:20], "changed", *words[21:]]))]
+    sets = shingle_sets(dict(rows))
+    like = [len(sets[k] & sets[k + 1]) / len(sets[k] | sets[k + 1]) for k in range(0, 60, 2)]
+    assert all(0.8 <= s < 0.85 for s in like)
+    kept = corpus_pipeline.drop_near_copies(spark, documents(*rows), "").collect()
+    assert sorted(r["doc_id"] for r in kept) == [*range(0, 60, 2), 1000, 1001, 1002, 1003]
+
+
 def test_near_dedup_query_against_brute_force(spark, folder, texts):
     expected = linked_groups(shingle_sets({k: r["text"] for k, r in texts.items()}))
     got = {r["doc_id"]: r["component_id"] for r in QUERIES["op8_near_dedup"](spark, folder).collect()}
