@@ -11,6 +11,7 @@ from sparkclaims.llm import (
     exact_dedup,
     license_scan,
     line_dedup,
+    merkle,
     mixing,
     near_dedup,
     packing,
@@ -19,7 +20,7 @@ from sparkclaims.llm import (
     quality_rules,
     toxicity,
 )
-from sparkclaims.llm.words import SQL_BLANK_RUN, SQL_LOWER, SQL_WORD
+from sparkclaims.llm.words import SQL_BLANK_RUN, SQL_LOWER, SQL_WORD, ascii_lower
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -177,3 +178,63 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_packing")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(documents(spark, folder))
+
+
+def _crc32_sql(number: str) -> str:
+    """Unsigned CRC-32 of a number's decimal text, bit by bit."""
+    signs = f"list_transform(string_split(CAST({number} AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))"
+    bit = "CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END"
+    byte = f"list_reduce(list_prepend(xor(c, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])), lambda r, z: {bit})"
+    return f"xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {signs}), lambda c, b: {byte}))"
+
+
+def _merkle_sql(levels: int = 6) -> str:
+    """The manifest level by level, for trees of up to ``levels`` levels."""
+    changed = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def leaf(text: str) -> str:
+        fields = ["doc_id", "source", "lang", "n_chars", text]
+        parts = [f"coalesce(strlen(CAST({f} AS VARCHAR)) || ':' || CAST({f} AS VARCHAR), '-')" for f in fields]
+        return f"sha256({' || '.join(parts)})"
+
+    tables = [
+        f"""d AS MATERIALIZED (SELECT doc_id, row_number() OVER () AS rid, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s,
+          {leaf('text')} AS leaf, CASE WHEN {_crc32_sql('doc_id')} % 5 = 0 THEN {leaf(changed)} ELSE {leaf('text')} END AS value
+          FROM documents)""",
+        """g0 AS MATERIALIZED (SELECT rid, s, leaf AS digest, value, '' AS proof, count(*) OVER (PARTITION BY s) AS n,
+          row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS pos FROM d)""",
+    ]
+
+    def climb(name: str) -> None:
+        tables.append(f"{name}n0 AS (SELECT s, pos, n, digest FROM {name}0)")
+        for k in range(levels):
+            tables.append(f"""{name}n{k + 1} AS MATERIALIZED (SELECT s, pos // 16 AS pos, (n + 15) // 16 AS n,
+                CASE WHEN n = 1 THEN min(digest) ELSE sha256(string_agg(digest, '' ORDER BY pos)) END AS digest
+                FROM {name}n{k} GROUP BY s, pos // 16, n)""")
+
+    def fold(name: str) -> None:
+        for k in range(levels):
+            tables.append(f"""{name}f{k + 1} AS MATERIALIZED (SELECT f.rid, f.s, f.pos // 16 AS pos,
+                CASE WHEN min(n.n) = 1 THEN f.value ELSE
+                  sha256(string_agg(CASE WHEN n.pos = f.pos THEN f.value ELSE n.digest END, '' ORDER BY n.pos)) END AS value,
+                f.proof || coalesce(string_agg(n.digest, '' ORDER BY n.pos) FILTER (n.pos <> f.pos), '') AS proof
+                FROM {name}f{k} f JOIN {name}n{k} n ON f.s = n.s AND f.pos // 16 = n.pos // 16
+                GROUP BY f.rid, f.s, f.pos, f.value, f.proof)""")
+
+    climb("g")
+    tables.append("gf0 AS (SELECT rid, s, pos, value, proof FROM g0)")
+    fold("g")
+    tables.append(f"r0 AS (SELECT 0 AS s, s AS pos, count(*) OVER () AS n, digest FROM gn{levels})")
+    climb("r")
+    tables.append(f"rf0 AS (SELECT rid, 0 AS s, s AS pos, value, proof FROM gf{levels})")
+    fold("r")
+    return f"""WITH {', '.join(tables)} SELECT doc_id, leaf, r0.digest AS subroot, top.digest AS root,
+        sha256(proof) AS proof_sha256, f.value AS folded_root, f.value = top.digest AS verified
+        FROM d JOIN rf{levels} f ON d.rid = f.rid JOIN r0 ON d.s = r0.pos CROSS JOIN rn{levels} top"""
+
+
+@query("op11_merkle_manifest", _merkle_sql())
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return merkle.audit(docs, tampered, {"text": ascii_lower(F.col("text"))})
