@@ -18,6 +18,7 @@ from sparkclaims.llm import (
     pii,
     ppm,
     quality_rules,
+    topk,
     toxicity,
 )
 from sparkclaims.llm.words import SQL_BLANK_RUN, SQL_LOWER, SQL_WORD, ascii_lower
@@ -238,3 +239,19 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     return merkle.audit(docs, tampered, {"text": ascii_lower(F.col("text"))})
+
+
+@query(
+    "op12_exact_topk",
+    """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS codes FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+      s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.codes, c.codes) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id IS DISTINCT FROM q.vec_id)
+      SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score FROM s
+      WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+      QUALIFY row_number() OVER best <= 20""",
+)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    _root_on_workers(spark)
+    vectors = spark.read.parquet(f"{folder.rstrip('/')}/embeddings.parquet")
+    return topk.top_k(vectors, F.col("vec_id") % 20 == 0)
