@@ -17,6 +17,7 @@ from sparkclaims.llm import (
     packing,
     pii,
     ppm,
+    prefix_trie,
     quality_rules,
     topk,
     toxicity,
@@ -255,3 +256,36 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
     _root_on_workers(spark)
     vectors = spark.read.parquet(f"{folder.rstrip('/')}/embeddings.parquet")
     return topk.top_k(vectors, F.col("vec_id") % 20 == 0)
+
+
+def _trie_sql() -> str:
+    """The trie from whole rebuilt sequences; a path is its turns' digests one after the other."""
+    return f"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        WHERE conv_id IS NOT NULL),
+      k AS (SELECT conv_id, turn, sha256(strlen(role) || ':' || role || text) AS ref,
+        len(list_filter(string_split_regex(text, '{SQL_BLANK_RUN}'), lambda w: w <> '')) AS words FROM t),
+      o AS (SELECT conv_id, list(ref ORDER BY turn NULLS FIRST, ref) AS refs, list(words ORDER BY turn NULLS FIRST, ref) AS sizes,
+        {_crc32_sql('conv_id')} % 4 AS h FROM k GROUP BY conv_id),
+      r AS (SELECT o.conv_id, list_concat(coalesce(list_slice(b.refs, 1, o.h), []), list_slice(o.refs, o.h + 1, len(o.refs))) AS refs,
+        list_concat(coalesce(list_slice(b.sizes, 1, o.h), []), list_slice(o.sizes, o.h + 1, len(o.sizes))) AS sizes
+        FROM o LEFT JOIN o b ON b.conv_id = o.conv_id - o.conv_id % 20),
+      p AS (SELECT conv_id, d, len(refs) AS m, array_to_string(list_slice(refs, 1, d), '') AS path, coalesce(sizes[d], 0) AS w
+        FROM (SELECT *, unnest(range(0, len(refs) + 1)) AS d FROM r)),
+      n AS (SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, CASE WHEN d = 0 THEN 0 ELSE min(w) END AS w, max(m) AS longest,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (m = d), '')) AS ends
+        FROM p GROUP BY path, d),
+      up AS (SELECT *, unnest(range(0, d + 1)) AS a FROM n),
+      below AS (SELECT substr(path, 1, 64 * a) AS path, a AS d, count(*) FILTER (longest = d) AS n_leaves,
+        count(*) FILTER (d = a + 1) AS n_children, sum((n_convs - 1) * w) AS saved FROM up GROUP BY substr(path, 1, 64 * a), a)
+      SELECT n.conv_id, n.d AS depth, q.conv_id AS parent_conv_id, n.n_convs, b.n_children, b.n_leaves,
+        CAST(b.saved AS BIGINT) AS saved_tokens, n.ends AS ends_sha256
+      FROM n JOIN below b ON n.path = b.path AND n.d = b.d
+      LEFT JOIN n q ON q.d = n.d - 1 AND q.path = substr(n.path, 1, 64 * (n.d - 1))"""
+
+
+@query("op13_prefix_trie", _trie_sql())
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    _root_on_workers(spark)
+    conversations = spark.read.parquet(f"{folder.rstrip('/')}/conversations.parquet")
+    conv = F.col("conv_id")
+    return prefix_trie.trie(conversations, F.crc32(conv.cast("string")) % 4, conv - conv % 20)
