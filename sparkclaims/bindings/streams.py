@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkclaims.bindings.analysis import exact
+from sparkclaims.bindings.analysis import SUMMARY, exact
 from sparkclaims.bindings.registry import query
 from sparkclaims.bindings.tables import Tables
 from sparkclaims.schemas import BOOLEAN, DOUBLE, STRING, table
 from sparkclaims.sources.writers import write_csv
+from sparkclaims.operators.summary import apply_batches, latest_summary
+from sparkclaims.plans import reports
+from sparkclaims.plans.star import ClaimStar
 from sparkclaims.storage import scratch_path
 from sparkclaims.streaming import claims as streams
+from sparkclaims.streaming.late import LateWindows, totals
 
 TOTALS = f"""COUNT(*) AS claim_count, CAST(SUM(fraud) AS BIGINT) AS fraud_count,
     {exact('SUM(fraud_score)', 'COUNT(*)', 4, 4)} AS avg_fraud_score"""
@@ -84,3 +91,71 @@ def stream_ingest(t: Tables):
             t.spark, f"{path}/files/*", INGEST_ROWS, f"{path}/data", f"{path}/checkpoint"
         ).awaitTermination()
     return t.spark.read.schema(INGEST_ROWS).parquet(f"{path}/data").drop("claim_date")
+
+
+def _arrivals(t: Tables, rows: DataFrame, path: str, parts: list[str], run: Callable[[DataFrame], object]) -> None:
+    """Files that arrive part by part, with a run of the stream (to its end) after each."""
+    for number, condition in enumerate(parts):
+        rows.filter(condition).write.parquet(f"{path}/files/{number}")
+        stream = t.spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).parquet(f"{path}/files/*")
+        run(stream).awaitTermination()
+
+
+# Every fifth event comes with the next part; those of odd users in a last one.
+_PARTS = [
+    "claim_id % 5 <> 0 AND claim_date < '2024-01-12'",
+    "(claim_id % 5 = 0 AND claim_date < '2024-01-12') OR (claim_id % 5 <> 0 AND claim_date >= '2024-01-12' AND policy_id % 2 = 0)",
+    "(claim_id % 5 = 0 AND claim_date >= '2024-01-12') OR (claim_id % 5 <> 0 AND claim_date >= '2024-01-12' AND policy_id % 2 <> 0)",
+]
+_PART_SQL = f"""(SELECT *, CASE WHEN {_PARTS[0]} THEN 0 WHEN {_PARTS[1]} THEN 1 ELSE 2 END AS part FROM stream_claims)"""
+
+
+def _late_windows(t: Tables, name: str):
+    path = scratch_path(t.spark, name)
+    rows = t.stream_claims(t.raw("events"))
+    windows = LateWindows(f"{path}/windows")
+    _arrivals(t, rows, path, _PARTS, lambda stream: streams.each_batch(stream, windows.save(), f"{path}/checkpoint"))
+    return windows, rows.schema
+
+
+@query(
+    "stream_late_rows",
+    f"""WITH p AS {_PART_SQL},
+         m AS (SELECT part + 1 AS part, max(max(claim_date)) OVER (ORDER BY part) - INTERVAL 10 MINUTE AS mark FROM p GROUP BY part)
+       SELECT claim_id, claim_type, CAST(claim_date AS VARCHAR) AS claim_date, CAST(p.part AS BIGINT) AS batch,
+         CAST(mark AS VARCHAR) AS watermark
+       FROM p JOIN m ON p.part = m.part WHERE time_bucket(INTERVAL 1 DAY, claim_date) + INTERVAL 1 DAY <= mark""",
+)
+def stream_late_rows(t: Tables):
+    """The rows whose window was closed when they came, by the batch that brought them."""
+    windows, schema = _late_windows(t, "stream_late_rows")
+    return windows.late_rows(t.spark, schema).select("claim_id", "claim_type", "claim_date", "batch", "watermark")
+
+
+@query(
+    "stream_corrected",
+    f"""SELECT CAST(time_bucket(INTERVAL 1 DAY, claim_date) AS VARCHAR) AS window_start,
+         CAST(time_bucket(INTERVAL 1 DAY, claim_date) + INTERVAL 1 DAY AS VARCHAR) AS window_end, claim_type, {TOTALS}
+       FROM stream_claims GROUP BY 1, 2, 3""",
+)
+def stream_corrected(t: Tables):
+    """Windows in time and late rows together: every row counts."""
+    windows, schema = _late_windows(t, "stream_corrected")
+    return totals(windows.corrected(t.spark, schema))
+
+
+@query("mv_stream", SUMMARY)
+def mv_stream(t: Tables):
+    """The summary of claims kept up to date by a stream in three parts, the last batch run once more."""
+    path, star = scratch_path(t.spark, "mv_stream"), t.star
+
+    def summarise(claims: DataFrame) -> DataFrame:
+        return reports.summary_sums(
+            ClaimStar(claims, star.policies, star.customers, star.policy_types, star.agents, star.dates)
+        )
+
+    save = apply_batches(summarise, f"{path}/summary")
+    parts = ["date_key < 19970101", "date_key >= 19970101 AND date_key < 19990101", "date_key >= 19990101"]
+    _arrivals(t, star.claims, path, parts, lambda stream: streams.each_batch(stream, save, f"{path}/checkpoint"))
+    save(star.claims.filter(parts[-1]), len(parts) - 1)
+    return reports.claim_summary(latest_summary(t.spark, f"{path}/summary"))

@@ -101,6 +101,23 @@ def _path(spark: SparkSession, folder: str):
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def written_versions(spark: SparkSession, base: str, name: str = "version") -> list[int]:
+    """The numbers n of the folders ``<name>=n`` in ``base`` whose write has ended, ascending.
+
+    A folder that a lost driver left half written is not among them.
+    """
+    path, files = _path(spark, base)
+    if not files.exists(path):
+        return []
+    found = []
+    for status in files.listStatus(path):
+        prefix, _, number = status.getPath().getName().partition("=")
+        marker = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+        if prefix == name and number.isdigit() and files.exists(marker):
+            found.append(int(number))
+    return sorted(found)
+
+
 def delete_folder(spark: SparkSession, folder: str) -> bool:
     """Delete a folder with all its files; False if there is none."""
     path, files = _path(spark, folder)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from sparkclaims.functions.columns import rounded_avg
 from sparkclaims.functions.risk import alert_level, flag_count
@@ -86,15 +88,19 @@ def tumbling_totals(
     )
 
 
+def _available(writer: DataStreamWriter, checkpoint: str) -> DataStreamWriter:
+    """Process what is there and stop."""
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+
+
 def append_to_files(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Process what is there and stop; files and checkpoint make it exactly once."""
-    return (
-        df.writeStream.outputMode("append")
-        .format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
-    )
+    """Files and checkpoint make every row come exactly once."""
+    return _available(df.writeStream.outputMode("append").format("parquet"), checkpoint).start(path)
+
+
+def each_batch(df: DataFrame, save: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    """``save(rows, batch id)`` for each micro-batch; it may run twice for one id."""
+    return _available(df.writeStream.foreachBatch(save), checkpoint).start()
 
 
 def complete_to_files(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -107,13 +113,7 @@ def complete_to_files(df: DataFrame, path: str, checkpoint: str) -> StreamingQue
         result.write.mode("overwrite").parquet(f"{path}/batch={batch}")
         delete_folder(result.sparkSession, f"{path}/batch={batch - 2}")
 
-    return (
-        df.writeStream.outputMode("complete")
-        .foreachBatch(save)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _available(df.writeStream.outputMode("complete").foreachBatch(save), checkpoint).start()
 
 
 def latest_complete(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -122,15 +122,9 @@ def latest_complete(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     return every.filter(F.col("batch") == every.agg(F.max("batch")).scalar()).drop("batch")
 
 
-def to_console(df: DataFrame, mode: str, checkpoint: str) -> StreamingQuery:
-    return (
-        df.writeStream.outputMode(mode)
-        .format("console")
-        .option("truncate", False)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def show_batches(df: DataFrame, mode: str, checkpoint: str) -> StreamingQuery:
+    """Print the result of each micro-batch, for a look at a small stream."""
+    return _available(df.writeStream.outputMode(mode).format("console").option("truncate", False), checkpoint).start()
 
 
 def ingest_csv(

@@ -82,7 +82,7 @@ def test_late_rows(spark, work, rows):
 def test_console(spark, work):
     folder, _, checkpoint = work
     arrive(folder, "1.csv", line(1, "2025-01-15"))
-    query = streams.to_console(
+    query = streams.show_batches(
         streams.type_totals(streams.csv_stream(spark, str(folder))), "complete", checkpoint
     )
     query.awaitTermination()
