@@ -14,6 +14,7 @@ from sparkclaims.operators import semistructured as docs
 from sparkclaims.plans import etl
 from sparkclaims.schemas import DATE, INT, MONEY, SOURCE_TABLES, STRING, table
 from sparkclaims.sources import readers, writers
+from sparkclaims.sources.ledger import LoadLedger
 from sparkclaims.storage import scratch_path, spread
 
 LONG = T.LongType()
@@ -103,7 +104,7 @@ def scan_json(t: Tables):
     )
 
 
-def _dialect_lines(t: Tables) -> DataFrame:
+def _dialect_lines(t: Tables, condition: str = "true") -> DataFrame:
     """Claims as CSV lines with quoted commas and every spelling of null; a
     number of them cannot be parsed."""
     line = F.col("line_no")
@@ -113,7 +114,7 @@ def _dialect_lines(t: Tables) -> DataFrame:
     )
     days = F.when(line == 6, "soon").otherwise(F.col("processing_days").cast("string"))
     more = F.when(line == 7, ",extra").otherwise("")
-    return t.claims.select(
+    return t.claims.filter(condition).select(
         F.concat(
             F.concat_ws(",", "claim_id", "policy_id", "claim_date", "claim_type", "claimed_amount", days, status),
             more,
@@ -156,6 +157,39 @@ def copy_into_rejects(t: Tables):
     return rejected.select("claim_id", F.col("line").isNotNull().alias("wrong_length"))
 
 
+def _load_twice(t: Tables) -> LoadLedger:
+    """Claims of lines 1 to 3 come first and are offered again with the others."""
+    path = scratch_path(t.spark, "load_ledger")
+    header = ",".join(CLAIM_ROWS.names)
+    ledger = LoadLedger(f"{path}/claims", CLAIM_ROWS)
+    for number, condition in enumerate(["line_no <= 3", "line_no > 3"]):
+        lines = _dialect_lines(t, condition).withColumnRenamed("value", header)
+        lines.write.options(header=True, quote="", escape="", emptyValue="", quoteAll=False, sep="\u0001").csv(f"{path}/in/{number}")
+        ledger.load(t.spark, f"{path}/in")
+        ledger.load(t.spark, f"{path}/in")
+    return ledger
+
+
+@query(
+    "load_ledger",
+    f"""SELECT CAST(line_no > 3 AS BIGINT) AS load, COUNT(*) FILTER (WHERE NOT {_BAD_SQL}) AS rows_loaded,
+         COUNT(*) FILTER (WHERE {_BAD_SQL}) AS rows_rejected FROM claims GROUP BY 1""",
+)
+def load_ledger(t: Tables):
+    """What the files of each load brought; a load that finds nothing new has no number."""
+    entries = _load_twice(t).entries(t.spark)
+    return entries.groupBy("load").agg(F.sum("rows_loaded").alias("rows_loaded"), F.sum("rows_rejected").alias("rows_rejected"))
+
+
+@query(
+    "load_ledger_rows",
+    f"""SELECT claim_id, {_STATUS_SQL} AS status, CAST(line_no > 3 AS BIGINT) AS load
+       FROM claims WHERE NOT {_BAD_SQL}""",
+)
+def load_ledger_rows(t: Tables):
+    return _load_twice(t).rows(t.spark).select("claim_id", "status", "load")
+
+
 @query(
     "load_variant",
     """SELECT CASE WHEN line_no = 3 THEN NULL ELSE claim_type END AS claim_type,

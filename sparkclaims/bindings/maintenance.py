@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 from sparkclaims.bindings.registry import query
 from sparkclaims.bindings.tables import Tables
 from sparkclaims.functions.risk import payout_ratio
-from sparkclaims.operators import governance, quality, versions
+from sparkclaims.operators import governance, history, quality, versions
 from sparkclaims.operators.merge import initial_history
 from sparkclaims.operators.merge import merge_scd1 as upsert
 from sparkclaims.operators.merge import merge_scd2 as add_history
 from sparkclaims.operators.paths import closure, count_paths, expand_paths
-from sparkclaims.storage import scratch_path
+from sparkclaims.storage import materialize, scratch_path
 
 
 @query(
@@ -75,6 +75,34 @@ def merge_scd2(t: Tables):
     return merged.drop("last_updated")
 
 
+@query(
+    "history_out_of_order",
+    """WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, arg_max(event_type, event_id) AS kind, max(event_id) AS change_no
+           FROM events GROUP BY 1, 2),
+         c AS (SELECT *, lag(kind) OVER (PARTITION BY user_id ORDER BY day) AS old FROM d),
+         n AS (SELECT *, lead(day) OVER (PARTITION BY user_id ORDER BY day) AS next FROM c WHERE old IS DISTINCT FROM kind)
+       SELECT user_id, kind, change_no, CAST(day AS VARCHAR) AS eff_start_date,
+         coalesce(CAST(next - 1 AS VARCHAR), '9999-12-31') AS eff_end_date, next IS NULL AS is_current
+       FROM n WHERE kind <> 'error'""",
+)
+def history_out_of_order(t: Tables):
+    """The last event of a user and day is a change, an error ends the user's
+    period. They come in three loads with old and new days mixed."""
+    changes = t.raw("events").select(
+        "user_id", F.col("ts").cast("date").alias("day"), F.col("event_id").alias("change_no"), F.col("event_type").alias("kind")
+    )
+    keys, order, gone = ["user_id"], ["change_no"], F.col("kind") == "error"
+
+    def part(number: int):
+        return changes.filter(F.col("change_no") % 3 == number)
+
+    events = materialize(history.add_changes(changes.limit(0), part(2), keys, "day", order), "events")
+    drawn = history.periods(events, keys, "day", ["kind"], gone)
+    for number in (0, 1):
+        events, drawn = history.apply_changes(events, drawn, part(number), keys, "day", order, ["kind"], gone)
+    return drawn.drop("day")
+
+
 UNTIL = "2024-01-15 09:00:00"
 _VERSION = ["ts", "event_id"]
 

@@ -14,8 +14,8 @@ from sparkclaims.functions.columns import fill_unknown as fill
 from sparkclaims.functions.risk import as_flag
 from sparkclaims.functions.risk import payout_ratio as ratio
 from sparkclaims.functions.risk import rejected_amount as rejected
-from sparkclaims.operators.keys import resolve_key
-from sparkclaims.operators.positions import dense_key
+from sparkclaims.operators.keys import resolve_key, resolve_key_as_of
+from sparkclaims.operators.positions import dense_key, neighbours
 from sparkclaims.plans import reports
 from sparkclaims.plans.etl import with_normalized_risk, with_policy_risk
 from sparkclaims.plans.star import denormalize
@@ -262,3 +262,26 @@ def resolve_keys(t: Tables):
     )
     rows = t.policies.select("policy_id", "customer_id", "start_date")
     return resolve_key(rows, history, "customer_id", "customer_key", "start_date").drop("start_date")
+
+
+_ORDER_DAYS = """days AS (SELECT customer_id, start_date AS f, min(policy_id) AS customer_key,
+           lead(start_date) OVER (PARTITION BY customer_id ORDER BY start_date) - 1 AS u FROM policies GROUP BY 1, 2)"""
+
+
+@query(
+    "resolve_keys_as_of",
+    f"""WITH {_ORDER_DAYS}
+       SELECT policy_id, p.customer_id, coalesce(customer_key, -1) AS customer_key FROM policies p
+       LEFT JOIN days h ON p.customer_id = h.customer_id AND p.start_date - 30 BETWEEN f AND coalesce(u, f + 400)""",
+)
+def resolve_keys_as_of(t: Tables):
+    """Customers have a version from each day on which they took a policy, the
+    last for 400 days; policies take the one of 30 days before."""
+    days = t.policies.groupBy("customer_id", F.col("start_date").alias("eff_start_date")).agg(
+        F.min("policy_id").alias("customer_key")
+    )
+    ends = neighbours(days, ["customer_id"], ["eff_start_date"], after={"_next": F.col("eff_start_date")})
+    until = F.coalesce(F.date_sub("_next", 1), F.date_add("eff_start_date", 400))
+    facts = t.policies.select("policy_id", "customer_id", F.date_sub("start_date", 30).alias("day"))
+    versions = ends.withColumn("eff_end_date", until).drop("_next")
+    return resolve_key_as_of(facts, versions, "customer_id", "customer_key", "day").drop("day")

@@ -156,6 +156,63 @@ def _add(left: Column, right: Column) -> Column:
     return F.when(left.isNull(), right).otherwise(F.coalesce(left + right, left))
 
 
+def neighbours(
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str | Column],
+    before: Mapping[str, Column] | None = None,
+    after: Mapping[str, Column] | None = None,
+    block_rows: int | None = None,
+) -> DataFrame:
+    """Adds, per group, values of the row before (``before``) and of the row after
+    (``after``); null where the group has no such row.
+
+    Within a block they come from a window, at a block's edge from a table
+    with one row per block and group. At most two groups per block have one.
+    """
+    before, after = before or {}, after or {}
+    # A struct, so that a null value is not taken for a missing row.
+    given = {"_before": F.struct(F.lit(True), *[v.alias(n) for n, v in before.items()]),
+             "_after": F.struct(F.lit(True), *[v.alias(n) for n, v in after.items()])}
+    blocks = ordered_blocks(df.withColumns(given), [*group, *order], block_rows)
+    local = Window.partitionBy(BLOCK, *group).orderBy(INDEX)
+    inside = blocks.withColumns({"_lag": F.lag("_before").over(local), "_lead": F.lead("_after").over(local)})
+    across = Window.partitionBy(*group).orderBy(BLOCK)
+    edges = (
+        blocks.groupBy(BLOCK, *group)
+        .agg(F.max_by("_before", INDEX).alias("_last"), F.min_by("_after", INDEX).alias("_first"))
+        .select(BLOCK, *group, F.lag("_last").over(across).alias("_edge_lag"), F.lead("_first").over(across).alias("_edge_lead"))
+        .filter(F.col("_edge_lag").isNotNull() | F.col("_edge_lead").isNotNull())
+    )
+    joined = join_null_safe(inside, materialize(edges, "edges"), [BLOCK, *group], "left")
+    lag, lead = F.coalesce("_lag", "_edge_lag"), F.coalesce("_lead", "_edge_lead")
+    return joined.select(
+        *df.columns, *[lag[n].alias(n) for n in before], *[lead[n].alias(n) for n in after]
+    )
+
+
+def carry_last(
+    df: DataFrame, group: Sequence[str], order: Sequence[str | Column], value: Column, name: str, block_rows: int | None = None
+) -> DataFrame:
+    """Adds, per group, the last ``value`` that is not null up to the current row.
+
+    What earlier blocks of the group bring is one row per block and group.
+    """
+    blocks = ordered_blocks(df.withColumn("_value", value), [*group, *order], block_rows)
+    local = Window.partitionBy(BLOCK, *group).orderBy(INDEX).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = blocks.withColumn("_local", F.last("_value", ignorenulls=True).over(local))
+    earlier = Window.partitionBy(*group).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    placed = F.when(F.col("_value").isNotNull(), F.col(INDEX))
+    carried = (
+        blocks.groupBy(BLOCK, *group)
+        .agg(F.max_by("_value", placed).alias("_last"))
+        .select(BLOCK, *group, F.last("_last", ignorenulls=True).over(earlier).alias("_earlier"))
+        .filter(F.col("_earlier").isNotNull())
+    )
+    joined = join_null_safe(inside, materialize(carried, "carried"), [BLOCK, *group], "left")
+    return joined.select(*df.columns, F.coalesce("_local", "_earlier").alias(name))
+
+
 def moving_sums(
     df: DataFrame,
     group: Sequence[str],

@@ -37,8 +37,7 @@ def read_json_array(
 def read_variant_array(spark: SparkSession, path: str, name: str = "raw_json") -> DataFrame:
     """Files that each hold one JSON array, as one variant per element."""
     whole = spark.read.option("multiLine", True).option("singleVariantColumn", "_all").json(path)
-    whole.createOrReplaceTempView("_variant_array")
-    return spark.sql(f"SELECT value AS {name} FROM _variant_array, LATERAL variant_explode(_all)")
+    return spark.sql(f"SELECT value AS {name} FROM {{whole}}, LATERAL variant_explode(_all)", whole=whole)
 
 
 def read_variant_lines(spark: SparkSession, path: str, name: str = "raw_json") -> DataFrame:
@@ -56,13 +55,14 @@ def _nulls(name: str) -> Column:
 
 
 def copy_into(
-    spark: SparkSession, path: str, schema: T.StructType
+    spark: SparkSession, path: str | list[str], schema: T.StructType, file_column: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Bulk load: ``(good, rejected)`` rows of CSV files with a header, optional
     double quotes and three spellings of null.
 
     A row with too many or too few fields, or a field that is no value of its
     type, is rejected as a whole and reported as text with the columns at fault.
+    ``file_column`` names a column that holds the file of each row.
     """
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     raw = (
@@ -73,7 +73,9 @@ def copy_into(
         .csv(path)
     )
     names = [f.name for f in schema.fields]
-    cleaned = raw.select(*[_nulls(name) for name in names], CORRUPT)
+    origin = [] if file_column is None else [F.col("_metadata.file_path").alias(file_column)]
+    source = [] if file_column is None else [file_column]
+    cleaned = raw.select(*[_nulls(name) for name in names], CORRUPT, *origin)
     typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
     wrong = F.array_compact(
         F.array(
@@ -85,6 +87,6 @@ def copy_into(
     )
     checked = cleaned.withColumn("bad_columns", wrong)
     is_good = F.col(CORRUPT).isNull() & (F.size("bad_columns") == 0)
-    good = checked.filter(is_good).select(*[value.alias(name) for name, value in typed.items()])
-    rejected = checked.filter(~is_good).select(*names, F.col(CORRUPT).alias("line"), "bad_columns")
+    good = checked.filter(is_good).select(*[value.alias(name) for name, value in typed.items()], *source)
+    rejected = checked.filter(~is_good).select(*names, F.col(CORRUPT).alias("line"), "bad_columns", *source)
     return good, rejected
