@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkclaims.bindings.registry import query
 from sparkclaims.bindings.tables import Tables
@@ -13,7 +14,9 @@ from sparkclaims.operators import governance, history, quality, versions
 from sparkclaims.operators.merge import initial_history
 from sparkclaims.operators.merge import merge_scd1 as upsert
 from sparkclaims.operators.merge import merge_scd2 as add_history
-from sparkclaims.operators.paths import closure, count_paths, expand_paths
+from sparkclaims.operators.paths import closure, count_paths, expand_paths, list_paths
+from sparkclaims.operators.timetravel import VersionedTable
+from sparkclaims.schemas import DOUBLE, STRING, table
 from sparkclaims.storage import materialize, scratch_path
 
 
@@ -146,6 +149,41 @@ def restore_before(t: Tables):
     return versions.before_statement(log, ["user_id"], _VERSION, "event_id", last, deleted).drop("ts")
 
 
+# Days on which the changes of the users are committed, up to the day before.
+_COMMITS = [datetime.datetime(2024, 1, day) for day in (6, 11, 16, 21, 26)]
+USERS = table(user_id=T.LongType(), event_id=T.LongType(), event_type=STRING, value=DOUBLE)
+
+
+def _committed(t: Tables) -> VersionedTable:
+    """Five commits of the users' last events, with a base after the third."""
+    users = VersionedTable(scratch_path(t.spark, "users"), USERS, ("user_id",))
+    log = _log(t)
+    for number, day in enumerate(_COMMITS):
+        since = F.lit(_COMMITS[number - 1]).cast("timestamp_ntz") if number else F.lit("2000-01-01").cast("timestamp_ntz")
+        until = (F.col("ts") >= since) & (F.col("ts") < F.lit(day).cast("timestamp_ntz"))
+        changes = versions.as_of(log, ["user_id"], _VERSION, until).withColumn("deleted", F.col("event_type") == "error")
+        users.commit(changes, day, f"load {number}")
+        if number == 2:
+            users.checkpoint(t.spark)
+    return users
+
+
+@query("time_travel_at", _as_of("ts < TIMESTAMP '2024-01-21'"))
+def time_travel_at(t: Tables):
+    """The users as of noon on 23 January: the base of the third commit and the fourth."""
+    users = _committed(t)
+    return users.read(t.spark, users.version_at(t.spark, datetime.datetime(2024, 1, 23, 12)))
+
+
+@query("time_travel_before", _as_of("ts < TIMESTAMP '2024-01-11'"))
+def time_travel_before(t: Tables):
+    """A restore of the users as they were before the third load, read from a clone of the table."""
+    users = _committed(t)
+    before = users.version_before(t.spark, "load 2")
+    users.restore(t.spark, before, datetime.datetime(2024, 2, 1))
+    return users.clone(t.spark, scratch_path(t.spark, "users-clone"), datetime.datetime(2024, 2, 2)).read(t.spark)
+
+
 @query(
     "clone_snapshot",
     """SELECT 'clone' AS source, COUNT(*) AS rows, CAST(SUM(premium_amount) AS DOUBLE) AS premium FROM policies
@@ -341,3 +379,24 @@ def agent_path_counts(t: Tables):
     """The chains within whole regions, counted without listing them."""
     rows = t.agents.select("agent_id", "region", "experience_years")
     return count_paths(rows, F.col("experience_years") > 17, "agent_id", "region").drop("experience_years")
+
+
+@query(
+    "agent_path_listing",
+    """WITH RECURSIVE chain AS (
+         SELECT agent_id, region, CAST(1 AS BIGINT) AS level, CAST(agent_id AS VARCHAR) AS path, [agent_id] AS members
+         FROM agents WHERE experience_years > 17
+         UNION ALL
+         SELECT a.agent_id, a.region, h.level + 1, h.path || ' -> ' || a.agent_id, list_append(h.members, a.agent_id)
+         FROM agents a JOIN chain h ON a.region = h.region AND a.agent_id <> h.agent_id
+         WHERE h.level < 3)
+       SELECT row_number() OVER (ORDER BY region, level, members) - 1 AS rank, agent_id, region, level, path FROM chain""",
+)
+def agent_path_listing(t: Tables):
+    """The chains within whole regions in three slices of the sorted listing, each made by itself."""
+    rows, in_base = t.agents.select("agent_id", "region", "experience_years"), F.col("experience_years") > 17
+
+    def part(start, stop):
+        return list_paths(rows, in_base, "agent_id", "region", start, stop)
+
+    return part(0, 100).unionByName(part(100, 1_000)).unionByName(part(1_000, None))
