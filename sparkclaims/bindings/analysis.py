@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from sparkclaims.bindings.registry import query
 from sparkclaims.bindings.tables import TIE, TIE_SQL, Tables, claim_id
-from sparkclaims.operators.summary import refresh_incremental, write_summary
+from sparkclaims.operators import sketches
+from sparkclaims.operators.summary import latest_summary, refresh_batch, refresh_incremental, write_summary
 from sparkclaims.plans import dashboards, reports
 from sparkclaims.plans.star import ClaimStar
 from sparkclaims.storage import scratch_path
@@ -404,3 +405,25 @@ def score_histogram(t: Tables):
 )
 def top_cities(t: Tables):
     return dashboards.top_cities(t.star)
+
+
+@query(
+    "amount_sketch",
+    """SELECT status, q AS share, COUNT(*) AS rows, true AS within FROM claims, (VALUES (0.05::DOUBLE), (0.25::DOUBLE),
+         (0.5::DOUBLE), (0.75::DOUBLE), (0.95::DOUBLE)) AS v(q) GROUP BY 1, 2""",
+)
+def amount_sketch(t: Tables):
+    """Quantiles of the amounts by status, from sketches merged over three refreshes,
+    held against the ranks they truly have."""
+    base = scratch_path(t.spark, "amount_sketch")
+
+    def summarised(condition):
+        return t.claims.filter(condition).groupBy("status").agg(
+            F.count("*").alias("claim_count"), sketches.sketch(F.col("claimed_amount")).alias("amounts")
+        )
+
+    for batch, condition in enumerate(["date_key < 19970101", "date_key BETWEEN 19970101 AND 19991231", "date_key > 19991231"]):
+        refresh_batch(t.spark, base, batch, summarised(condition), ["status"], ["claim_count"], ["amounts"])
+    shares = [0.05, 0.25, 0.5, 0.75, 0.95]
+    errors = sketches.rank_errors(t.claims, latest_summary(t.spark, base), "status", "claimed_amount", "amounts", shares)
+    return errors.select("status", "share", "rows", (F.col("error") <= 2 * sketches.rank_error()).alias("within"))

@@ -13,7 +13,7 @@ from sparkclaims.bindings.tables import Tables
 from sparkclaims.operators import semistructured as docs
 from sparkclaims.plans import etl
 from sparkclaims.schemas import DATE, INT, MONEY, SOURCE_TABLES, STRING, table
-from sparkclaims.sources import readers, writers
+from sparkclaims.sources import readers, variants, writers
 from sparkclaims.sources.ledger import LoadLedger
 from sparkclaims.storage import scratch_path, spread
 
@@ -367,6 +367,21 @@ def json_extract(t: Tables):
     return docs.extract_paths(stored_documents(t), "raw_json", docs.CLAIM_PATHS, ["claim_id"])
 
 
+@query(
+    "json_stored",
+    """SELECT status, fraud_flag AS is_fraud, COUNT(*) AS documents, CAST(SUM(claimed_amount) AS DOUBLE) AS claimed
+       FROM claims GROUP BY 1, 2""",
+)
+def json_stored(t: Tables):
+    """Three paths of documents that were written shredded; no other field is scanned."""
+    path = scratch_path(t.spark, "json_stored")
+    variants.write_documents(stored_documents(t), path)
+    paths = {name: docs.CLAIM_PATHS[name] for name in ("status", "is_fraud")}
+    paths["claimed_amount"] = ("$.financial.claimed_amount", "decimal(15,2)")
+    typed = docs.extract_paths(variants.read_documents(t.spark, path), "raw_json", paths, [])
+    return typed.groupBy("status", "is_fraud").agg(F.count("*").alias("documents"), F.sum("claimed_amount").alias("claimed"))
+
+
 @query(
     "json_flatten",
     f"""SELECT claim_id, fraud_score, unnest(flags) AS fraud_indicator_flag

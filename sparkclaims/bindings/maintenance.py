@@ -14,6 +14,7 @@ from sparkclaims.operators import governance, history, quality, versions
 from sparkclaims.operators.merge import initial_history
 from sparkclaims.operators.merge import merge_scd1 as upsert
 from sparkclaims.operators.merge import merge_scd2 as add_history
+from sparkclaims.operators.membership import MembershipFilter, buckets_for, repeats_across_loads
 from sparkclaims.operators.paths import closure, count_paths, expand_paths, list_paths
 from sparkclaims.operators.timetravel import VersionedTable
 from sparkclaims.schemas import DOUBLE, STRING, table
@@ -234,6 +235,26 @@ def dq_duplicates(t: Tables):
     return quality.duplicate_count(t.claims, ["policy_id", "line_no"])
 
 
+@query(
+    "dq_across_loads",
+    """WITH old AS (SELECT DISTINCT policy_id, line_no FROM claims WHERE claim_date < DATE '1999-01-01'),
+         new AS (SELECT policy_id, line_no FROM claims WHERE claim_date >= DATE '1999-01-01' OR agent_id % 7 = 0)
+       SELECT policy_id, CAST(line_no AS BIGINT) AS line_no, COUNT(*) AS rows,
+         (SELECT COUNT(*) FROM claims c WHERE claim_date < DATE '1999-01-01' AND c.policy_id = n.policy_id AND c.line_no = n.line_no) AS rows_loaded
+       FROM new n SEMI JOIN old USING (policy_id, line_no) GROUP BY policy_id, line_no""",
+)
+def dq_across_loads(t: Tables):
+    """Claims from 1999 on, and some earlier ones again, held against the claims before 1999."""
+    early = F.col("claim_date") < datetime.date(1999, 1, 1)
+    keys = ["policy_id", "line_no"]
+    loaded = t.claims.filter(early).select(*keys)
+    known = MembershipFilter(scratch_path(t.spark, "loaded"), tuple(keys), buckets_for(loaded.count()))
+    for year in ("claim_date < DATE '1997-01-01'", "claim_date >= DATE '1997-01-01'"):
+        known.add(t.claims.filter(early).filter(year).select(*keys))
+    incoming = t.claims.filter(~early | (F.col("agent_id") % 7 == 0)).select(*keys)
+    return repeats_across_loads(incoming, loaded, known)
+
+
 @query(
     "data_dictionary",
     """SELECT 'dwh' AS table_schema, 'dim_customers' AS table_name, column_name, data_type, description, pii_flag,
@@ -289,16 +310,22 @@ def mask_customers(t: Tables):
     "region_rows",
     """SELECT 'ASIA' AS session_user, region, COUNT(*) AS claims, CAST(SUM(claimed_amount) AS DOUBLE) AS claimed
          FROM claims c JOIN agents a ON c.agent_id = a.agent_id WHERE region = 'ASIA' GROUP BY 2
-       UNION ALL SELECT 'MANAGER', region, COUNT(*), CAST(SUM(claimed_amount) AS DOUBLE)
-         FROM claims c JOIN agents a ON c.agent_id = a.agent_id GROUP BY 2""",
+       UNION ALL SELECT u, region, COUNT(*), CAST(SUM(claimed_amount) AS DOUBLE)
+         FROM claims c JOIN agents a ON c.agent_id = a.agent_id, (VALUES ('MANAGER'), ('STEWARD'), ('ADMIN')) v(u) GROUP BY 1, 2""",
 )
 def region_rows(t: Tables):
-    """Claims of the agents that an analyst for Asia, and a manager, may see.
+    """Claims of the agents that an analyst for Asia, and those above, may see.
 
-    The claims are summed per agent once, for both sessions.
+    The roles of a session follow from the grants: a steward's session holds
+    the steward role, an analyst's does not. The claims are summed per agent
+    once, for all sessions.
     """
+    grants = t.spark.createDataFrame(governance.ROLE_GRANTS, "role string, granted_to string")
+    held = closure(grants, "role", "granted_to")
+
     def seen(role: str, user: str):
-        agents = governance.region_filter(t.agents, "region", role, user, [role])
+        roles = governance.session_roles(held, role)
+        agents = governance.region_filter(t.agents, "region", role, user, roles)
         return agents.select("agent_id", "region", F.lit(user).alias("session_user"))
 
     per_agent = t.claims.groupBy("agent_id").agg(
@@ -306,7 +333,9 @@ def region_rows(t: Tables):
     )
     return (
         seen(governance.ANALYST, "ASIA")
+        .unionByName(seen(governance.STEWARD, "STEWARD"))
         .unionByName(seen(governance.MANAGER, "MANAGER"))
+        .unionByName(seen(governance.ADMIN, "ADMIN"))
         .join(per_agent, "agent_id")
         .groupBy("session_user", "region")
         .agg(F.sum("claims").alias("claims"), F.sum("claimed").alias("claimed"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sparkclaims.bindings.registry import query
 from sparkclaims.bindings.tables import Tables
 from sparkclaims.functions.bands import experience_band
-from sparkclaims.functions.columns import date_key, date_parts, duration_days, full_name, load_stamp
+from sparkclaims.functions.columns import date_key, date_parts, duration_days, full_name, load_stamp, padded_id
 from sparkclaims.functions.columns import fill_unknown as fill
 from sparkclaims.functions.risk import as_flag
 from sparkclaims.functions.risk import payout_ratio as ratio
@@ -285,3 +285,12 @@ def resolve_keys_as_of(t: Tables):
     facts = t.policies.select("policy_id", "customer_id", F.date_sub("start_date", 30).alias("day"))
     versions = ends.withColumn("eff_end_date", until).drop("_next")
     return resolve_key_as_of(facts, versions, "customer_id", "customer_key", "day").drop("day")
+
+
+@query(
+    "padded_ids",
+    """SELECT customer_id, 'CUST' || CASE WHEN customer_id < 1000000 THEN lpad(CAST(customer_id AS VARCHAR), 6, '0')
+         ELSE CAST(customer_id AS VARCHAR) END AS customer_code FROM raw_customers""",
+)
+def padded_ids(t: Tables):
+    return t.raw_customers.select("customer_id", padded_id("CUST", F.col("customer_id"), 6).alias("customer_code"))

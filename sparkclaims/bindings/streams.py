@@ -15,7 +15,7 @@ from sparkclaims.sources.writers import write_csv
 from sparkclaims.operators.summary import apply_batches, latest_summary
 from sparkclaims.plans import reports
 from sparkclaims.plans.star import ClaimStar
-from sparkclaims.storage import scratch_path
+from sparkclaims.storage import local_table, scratch_path
 from sparkclaims.streaming import claims as streams
 from sparkclaims.streaming.late import LateWindows, totals
 
@@ -159,3 +159,28 @@ def mv_stream(t: Tables):
     _arrivals(t, star.claims, path, parts, lambda stream: streams.each_batch(stream, save, f"{path}/checkpoint"))
     save(star.claims.filter(parts[-1]), len(parts) - 1)
     return reports.claim_summary(latest_summary(t.spark, f"{path}/summary"))
+
+
+@query(
+    "stream_status",
+    """SELECT part + 1 AS run, false AS active, COUNT(*) AS rows_in_all, (SELECT COUNT(*) FROM stream_claims s
+         WHERE (claim_date >= TIMESTAMP '2024-01-16') <= (part = 1)) AS rows_loaded
+       FROM (SELECT CAST(claim_date >= TIMESTAMP '2024-01-16' AS BIGINT) AS part FROM stream_claims) GROUP BY part""",
+)
+def stream_status(t: Tables):
+    """What two runs of an ingest say of themselves, and the rows that are there after each."""
+    path = scratch_path(t.spark, "stream_status")
+    rows = t.stream_claims(t.raw("events")).select(
+        F.col("claim_id").cast("string").alias("claim_id"), F.col("claim_date").cast("string").alias("claim_date"),
+        "claim_type", "claimed_amount", "fraud_flag",
+    )
+    seen: dict[str, list] = {"run": [], "active": [], "rows_in_all": [], "rows_loaded": []}
+    for run, condition in [(1, "claim_date < '2024-01-16'"), (2, "claim_date >= '2024-01-16'")]:
+        write_csv(rows.filter(condition), f"{path}/files/{run}")
+        ingest = streams.ingest_csv(t.spark, f"{path}/files/*", INGEST_ROWS, f"{path}/data", f"{path}/checkpoint")
+        ingest.awaitTermination()
+        status = streams.ingest_status(ingest)
+        loaded = t.spark.read.schema(INGEST_ROWS).parquet(f"{path}/data").count()
+        for name, value in zip(seen, (run, status["active"], status["rows_in_all"], loaded), strict=True):
+            seen[name].append(value)
+    return local_table(t.spark, seen, "run long, active boolean, rows_in_all long, rows_loaded long")

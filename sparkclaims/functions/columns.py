@@ -30,7 +30,9 @@ def full_name(first: Column, last: Column) -> Column:
 
 
 def padded_id(prefix: str, number: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
+    """The number with zeros up to ``width``; a longer one keeps all its digits."""
+    digits = number.cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0")))
 
 
 def fill_unknown(df: DataFrame, columns: list[str]) -> DataFrame:

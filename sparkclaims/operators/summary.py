@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkclaims.operators import sketches
 from sparkclaims.operators.joins import unique_by
 from sparkclaims.storage import delete_folder, written_versions
 
@@ -14,10 +15,13 @@ KEYS = ["year", "quarter", "policy_type_name", "region"]
 SUMS = ["claim_count", "total_claimed", "total_approved", "fraud_score_sum", "fraud_score_rows", "fraud_count"]
 
 
-def merge_summaries(old: DataFrame, new: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
-    """Sums of two summaries of disjoint facts; averages are never merged."""
+def merge_summaries(
+    old: DataFrame, new: DataFrame, keys: Sequence[str], sums: Sequence[str], sketched: Sequence[str] = ()
+) -> DataFrame:
+    """Sums, and quantile sketches, of two summaries of disjoint facts; averages are never merged."""
     return old.unionByName(new).groupBy(*keys).agg(
-        *[F.sum(name).cast(old.schema[name].dataType).alias(name) for name in sums]
+        *[F.sum(name).cast(old.schema[name].dataType).alias(name) for name in sums],
+        *[sketches.merged(name).alias(name) for name in sketched],
     )
 
 
@@ -38,7 +42,8 @@ def refresh_incremental(
 
 
 def refresh_batch(
-    spark: SparkSession, base: str, batch: int, delta: DataFrame, keys: Sequence[str] = KEYS, sums: Sequence[str] = SUMS
+    spark: SparkSession, base: str, batch: int, delta: DataFrame, keys: Sequence[str] = KEYS,
+    sums: Sequence[str] = SUMS, sketched: Sequence[str] = (),
 ) -> str:
     """Merge the summary of one batch of new facts, once per batch id.
 
@@ -51,16 +56,17 @@ def refresh_batch(
     summary = delta
     if below:
         old = spark.read.schema(delta.schema).parquet(f"{base}/version={below[-1]}")
-        summary = merge_summaries(old, delta, keys, sums)
+        summary = merge_summaries(old, delta, keys, sums, sketched)
     path = f"{base}/version={batch}"
-    unique_by(summary.select(*keys, *sums), keys).write.mode("overwrite").parquet(path)
+    unique_by(summary.select(*keys, *sums, *sketched), keys).write.mode("overwrite").parquet(path)
     for version in below[:-1]:
         delete_folder(spark, f"{base}/version={version}")
     return path
 
 
 def apply_batches(
-    summarise: Callable[[DataFrame], DataFrame], base: str, keys: Sequence[str] = KEYS, sums: Sequence[str] = SUMS
+    summarise: Callable[[DataFrame], DataFrame], base: str, keys: Sequence[str] = KEYS,
+    sums: Sequence[str] = SUMS, sketched: Sequence[str] = (),
 ) -> Callable[[DataFrame, int], None]:
     """For ``foreachBatch``: keeps the summary in ``base`` up to date with a stream of facts.
 
@@ -69,7 +75,7 @@ def apply_batches(
     """
 
     def save(facts: DataFrame, batch: int) -> None:
-        refresh_batch(facts.sparkSession, base, batch, summarise(facts), keys, sums)
+        refresh_batch(facts.sparkSession, base, batch, summarise(facts), keys, sums, sketched)
 
     return save
 
