@@ -19,13 +19,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkclaims.llm.words import BLANK_RUN, BLANKS, WORD, bind
+from sparkclaims.operators.joins import skew_join
+from sparkclaims.operators.positions import running_sums
 from sparkclaims.storage import materialize
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_EPOCHS = 2
 BLOCK_WORDS = 50_000
-SHARDS = 16
+# Shards at least, and blocks of a shard.
+SHARDS, SHARD_BLOCKS = 16, 64
 SEED = 20_240_601
 # Blocks of a source per group of the two-step running sum.
 _GROUP = 1_000
@@ -33,17 +36,39 @@ _GROUP = 1_000
 _REACH = 12
 
 
-def sized_rows(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
-    """doc_id, source, size (words) and a row number of each row, written once."""
-    return materialize(
+def sized_rows(docs: DataFrame, id_col: str, source_col: str, text_col: str, row_col: str | None = None) -> DataFrame:
+    """doc_id, source, size (words), row_no and ``place`` of each row, written once.
+
+    ``row_no`` (``row_col`` if given) only tells rows apart. ``place`` is what
+    decides a row's blocks and order: a digest of id, source and text, with a
+    number that tells equal rows apart. It does not depend on how files are split.
+    """
+    number = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
+    content = [F.col(id_col), F.col(source_col), F.col(text_col)]
+    absent = [c.isNull() for c in content]
+    rows = materialize(
         docs.select(
             F.col(id_col).alias("doc_id"),
             F.col(source_col).alias("source"),
             F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
-            F.monotonically_increasing_id().alias("row_no"),
+            number.alias("row_no"),
+            F.xxhash64(F.lit(1), *absent, *content).alias("digest_1"),
+            F.xxhash64(F.lit(2), *absent, *content).alias("digest_2"),
         ),
         "sizes",
     )
+    digest = ["digest_1", "digest_2"]
+    repeated = materialize(rows.groupBy(*digest).agg(F.count("*").alias("_rows")).filter("_rows > 1"), "repeated")
+    place = lambda tie: F.xxhash64(*digest, tie).alias("place")
+    if not repeated.limit(1).count():
+        return rows.select("doc_id", "source", "size", "row_no", place(F.lit(0).cast("long")))
+    flagged = materialize(skew_join(rows, repeated, digest, "left", frequencies=lambda: repeated), "flagged")
+    # Equal rows are interchangeable; they are counted in blocks, however many.
+    numbered = running_sums(flagged.filter("_rows IS NOT NULL").drop("_rows"), digest, ["row_no"], {"_tie": F.lit(1).cast("long")})
+    single = flagged.filter("_rows IS NULL").drop("_rows").withColumn("_tie", F.lit(0).cast("long"))
+    return materialize(
+        single.unionByName(numbered).select("doc_id", "source", "size", "row_no", place(F.col("_tie"))), "numbered"
+    )
 
 
 def source_targets(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST_EPOCHS) -> DataFrame:
@@ -240,7 +265,7 @@ def _blocks(rows: DataFrame, targets: DataFrame, block_words: int, seed: int) ->
         rows.join(t, _same(F.col("source"), F.col("_source")))
         .drop("_source")
         .withColumn("blocks", count)
-        .withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "row_no"), F.col("blocks"))),
+        .withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "place"), F.col("blocks"))),
         "placed",
     )
 
@@ -278,8 +303,9 @@ def mix(
     share: float = SHARE,
     most: int = MOST_EPOCHS,
     block_words: int = BLOCK_WORDS,
-    shards: int = SHARDS,
+    shards: int | None = None,
     seed: int = SEED,
+    row_col: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The rows with their sources' figures, and the copies of them that the mix takes.
 
@@ -288,10 +314,12 @@ def mix(
     in the shard). The words of a source's copies add up to its target rounded
     down; no row is taken over ``most`` times. A null text has no words and is
     never taken; null is a source of its own; repeated rows are rows of their
-    own; an empty table gives two empty results. Row numbers, blocks and draws
-    depend only on the input files and ``seed``, so reruns agree.
+    own; an empty table gives two empty results. Blocks, draws and positions
+    depend only on the rows' ids, sources and texts and on ``seed``, so reruns
+    agree however the input is cut; of equal rows any one may be taken more
+    often. There is a shard per ``SHARD_BLOCKS`` blocks, and ``SHARDS`` at least.
     """
-    rows = sized_rows(docs, id_col, source_col, text_col)
+    rows = sized_rows(docs, id_col, source_col, text_col, row_col)
     targets = materialize(source_targets(rows, weights, share, most), "targets")
     placed = _blocks(rows, targets, block_words, seed)
     wanted = F.floor(F.col("target")).cast("long")
@@ -305,58 +333,74 @@ def mix(
         .withColumn("draw", F.col("epoch") * F.col("blocks") + F.col("block"))
     )
     draws = materialize(draws.select("source", "block", "epoch", "take", "draw"), "draws")
-    quotas = draws.groupBy("source").agg((F.max("draw") + 1).alias("quota"))
+    quotas = materialize(draws.groupBy("source").agg((F.max("draw") + 1).alias("quota")), "quotas")
+    if shards is None:
+        shards = max(SHARDS, -(-(quotas.agg(F.sum("quota")).first()[0] or 0) // SHARD_BLOCKS))
     shares = materialize(split_quotas(quotas, shards, seed), "shares").withColumnRenamed("source", "_source")
     numbered = shares.select("_source", "shard", F.explode(F.sequence("first", F.col("last") - 1)).alias("_draw"))
     dealt = draws.join(
         numbered, _same(F.col("source"), F.col("_source")) & (F.col("draw") == F.col("_draw"))
     ).select("_source", F.col("block").alias("_block"), "epoch", "take", "shard")
     # Within a block the rows stand in a permuted order of their own.
-    within = Window.partitionBy("source", "block").orderBy(F.xxhash64(F.lit(seed + 1), "row_no"), "row_no")
+    within = Window.partitionBy("source", "block").orderBy(F.xxhash64(F.lit(seed + 1), "place"), "place")
     lined = placed.select(
-        "row_no", "source", "block", "size", (F.sum("size").over(within) - F.col("size")).alias("before")
+        "row_no", "place", "source", "block", "size", (F.sum("size").over(within) - F.col("size")).alias("before")
     )
     copies = (
         lined.join(dealt, _same(F.col("source"), F.col("_source")) & (F.col("block") == F.col("_block")))
         .withColumn("words", F.least(F.col("size"), F.col("take") - F.col("before")))
         .filter("words > 0")
-        .select("row_no", "epoch", "words", "shard")
+        .select("row_no", "place", "epoch", "words", "shard")
     )
-    shuffled = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed + 2), "row_no", "epoch"), "row_no", "epoch")
-    positioned = copies.withColumn("position", F.row_number().over(shuffled).cast("long"))
+    shuffled = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed + 2), "place", "epoch"), "place", "epoch")
+    positioned = copies.withColumn("position", F.row_number().over(shuffled).cast("long")).drop("place")
     return placed.select("doc_id", "row_no", "source", "size", "source_size", "target"), positioned
 
 
 def taken_per_row(rows: DataFrame, copies: DataFrame) -> DataFrame:
     """One row per row of the input with the words that the mix takes of it."""
     sums = copies.groupBy("row_no").agg(
-        F.sum("words").alias("taken"), F.min("shard").alias("first_shard"), F.count("*").alias("copies")
+        F.sum("words").alias("taken"), F.min(F.struct("shard", "position")).alias("first"), F.count("*").alias("copies")
     )
     return rows.join(sums, "row_no", "left").select(
         "doc_id", "size", "source_size", "target",
         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
         F.coalesce("copies", F.lit(0)).cast("long").alias("copies"),
-        "first_shard",
+        F.col("first.shard").alias("first_shard"),
+        F.col("first.position").alias("first_position"),
     )
 
 
 def mixed_documents(
     docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options
 ) -> DataFrame:
-    """The rows of ``docs`` once per copy that the mix takes, in the order of its shards.
+    """The rows of ``docs`` once per copy that the mix takes, in the order of its
+    shards and of the positions in them: partitions follow each other in it.
 
-    A copy that is taken in part has the text up to its last word taken.
+    A copy that is taken in part has the text up to its last word taken. Other
+    columns of ``docs``, whatever their names, are kept as they are.
     """
-    kept = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "mixed-input")
-    rows, copies = mix(kept.select(F.col("_row").alias("_id"), source_col, text_col), "_id", source_col, text_col, **options)
-    taken = copies.join(rows.select("row_no", F.col("doc_id").alias("_row"), "size"), "row_no")
-    joined = kept.join(taken.select("_row", "words", "size", "shard", "position"), "_row")
+    row, words, size, shard, position = (_free(docs, n) for n in ("_row", "_words", "_size", "_shard", "_position"))
+    kept = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "mixed-input")
+    rows, copies = mix(kept.select(id_col, source_col, text_col, row), id_col, source_col, text_col, row_col=row, **options)
+    taken = copies.join(rows.select("row_no", "size"), "row_no").select(
+        F.col("row_no").alias(row), F.col("words").alias(words), F.col("size").alias(size),
+        F.col("shard").alias(shard), F.col("position").alias(position),
+    )
+    joined = kept.join(taken, row)
     whole = F.col(text_col)
     # The last entry of the split is what follows the words taken.
     ahead = F.ltrim(whole, F.lit(BLANKS))
-    rest = F.element_at(F.split(ahead, BLANK_RUN, (F.col("words") + 1).cast("int")), -1)
+    rest = F.element_at(F.split(ahead, BLANK_RUN, (F.col(words) + 1).cast("int")), -1)
     part = F.rtrim(F.substring(ahead, F.lit(1), F.length(ahead) - F.length(rest)), F.lit(BLANKS))
-    text = F.when(F.col("words") < F.col("size"), part).otherwise(whole)
-    return joined.sortWithinPartitions("shard", "position").select(
-        *[text.alias(c) if c == text_col else F.col(c) for c in docs.columns]
-    )
+    text = F.when(F.col(words) < F.col(size), part).otherwise(whole)
+    ordered = joined.repartitionByRange(shard, position).sortWithinPartitions(shard, position)
+    return ordered.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """A name that no column of ``docs`` has."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name

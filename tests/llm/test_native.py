@@ -306,3 +306,38 @@ def test_pseudonymise_nothing(documents):
 def test_bound_names():
     assert {f"op{n}_" for n in range(1, 11)} == {n.split("_")[0] + "_" for n in bound.queries() if n.startswith("op")}
     assert "pipeline" in bound.queries()
+
+
+def test_the_mix_is_the_same_however_the_input_is_cut(spark, documents, tmp_path):
+    """Other files, partitions and cores, and rows that are wholly equal among them."""
+    rows = [(k % 150, " ".join(f"w{j}" for j in range(k % 13)), ["a", "b", None][k % 3]) for k in range(300)]
+    rows += [(7, "equal row of five words", "a")] * 40 + [(None, "no id", "b")] * 3
+    path, found = str(tmp_path / "docs"), []
+    for files, most in ((1, "128m"), (7, "400"), (40, "10k")):
+        documents(*rows).repartition(files).write.mode("overwrite").parquet(path)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+        try:
+            taken = mixing.taken_per_row(*mixing.mix(spark.read.parquet(path), block_words=40, shards=5)).drop("first_shard", "first_position")
+            whole = mixing.mixed_documents(spark.read.parquet(path), block_words=40, shards=5)
+            found.append((sorted(map(tuple, taken.collect()), key=str), [(r["doc_id"], r["text"]) for r in whole.collect()]))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found[0] == found[1] == found[2]
+
+
+def test_mixed_documents_keep_clashing_columns(documents):
+    docs = documents(*[(k, f"a b c {k}", "s") for k in range(20)]).selectExpr(
+        "*", "1 AS size", "2 AS words", "3 AS position", "4 AS shard", "5 AS row_no", "6 AS _row", "7 AS place", "8 AS target", "9 AS block"
+    )
+    got = mixing.mixed_documents(docs)
+    rows = got.collect()
+    assert got.columns == docs.columns and rows
+    assert {tuple(r)[5:] for r in rows} == {(1, 2, 3, 4, 5, 6, 7, 8, 9)}
+
+
+def test_shards_follow_from_the_blocks(documents, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_BLOCKS", 2)
+    rows = [(k, "w " * 10, "a") for k in range(100)]
+    _, copies = mixing.mix(documents(*rows), block_words=20)
+    shards = copies.groupBy("shard").agg(F.count("*").alias("n"), F.max("position").alias("last")).collect()
+    assert len(shards) > mixing.SHARDS and all(r["n"] == r["last"] for r in shards)
