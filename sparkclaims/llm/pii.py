@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkclaims.llm.words import bind
+from sparkclaims.operators.joins import skew_join
 from sparkclaims.storage import materialize
 
 MAX_DRAWS = 64
@@ -39,19 +40,26 @@ TITLES = {"m": "Mr|Herr|Señor|Monsieur", "f": "Mrs|Ms|Miss|Frau|Señora|Madame"
 
 _GIVEN_ANY = "|".join(name for names in GIVEN.values() for name in names.split())
 _TITLE_ANY = "|".join(TITLES.values())
-_SURNAME = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)*"
+# Repetitions of groups are possessive: Java's matcher does not recurse in them, however long an entity is.
+_SURNAME = r"\p{Lu}\p{Ll}++(?:-\p{Lu}\p{Ll}++(?!\p{L}))*+"
+_LABELS = r"(?:[A-Za-z0-9-]++\.(?=[A-Za-z]{2}|[A-Za-z0-9-]++\.))++[A-Za-z]{2,}+"
+_TITLE = rf"(?:{_TITLE_ANY})\.? "
 
-# In the order in which they are tried at a place of the text.
+# In the order in which they are tried at a place of the text. A card is longer than the phone it begins like.
 PATTERNS = {
-    "email": r"(?<![\w.+%-])[\w.+%-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+    "email": rf"(?<![\w.+%-])[\w.+%-]++@{_LABELS}",
     "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}|[0-9A-F]{32,}|(?:sk|pk|ghp|xox[bp])[-_][0-9A-Za-z]{16,}|AKIA[0-9A-Z]{16})(?![0-9A-Za-z])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
+    "ip6": r"(?<![0-9A-Za-z:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){2,6}(?::[0-9A-Fa-f]{1,4}){1,5}|[0-9A-Fa-f]{1,4}:(?::[0-9A-Fa-f]{1,4}){2,6})(?![0-9A-Za-z:])",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "phone": r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])",
-    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
-    "name": rf"(?<![\p{{L}}])(?:(?:{_TITLE_ANY})\.? )?(?:{_GIVEN_ANY}) {_SURNAME}(?![\p{{L}}])",
+    "card": r"(?<![0-9+])(?:(?:[0-9]{4}[ -]){3}[0-9]{1,4}(?:[ -][0-9]{1,3})?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{13,19})(?![0-9])",
+    "phone": r"(?<![0-9])(?:\+[0-9](?:[ ./-]?\(?[0-9]\)?){7,14}|(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}|0[0-9]{1,4}[/-][0-9]{4,9}|0[0-9]{2,4} [0-9]{5,9})(?![0-9])",
+    "number": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
+    "name": rf"(?<![\p{{L}}])(?:{_TITLE})?(?:{_GIVEN_ANY}) {_SURNAME}(?![\p{{L}}])",
+    "titled": rf"(?<![\p{{L}}]){_TITLE}{_SURNAME}(?![\p{{L}}])",
 }
+_DIGITS_ONLY = ("phone", "card", "ssn", "number")
 # Inside a word of small letters no entity begins, so nothing is tried there.
 _BEGIN = r"(?:(?=[0-9+(.%_\-\p{Lu}])|(?<![0-9A-Za-z])(?=[a-z]))"
 ANY = _BEGIN + "(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
@@ -65,14 +73,50 @@ def _kind(mention: Column) -> Column:
 def _canonical(kind: Column, mention: Column) -> Column:
     digits = F.regexp_replace(mention, "[^0-9]", "")
     return (
-        F.when(kind.isin("phone", "card", "ssn"), digits)
+        F.when(kind.isin(*_DIGITS_ONLY), digits)
         .when(kind == "email", F.lower(mention))
         .when(kind == "iban", F.regexp_replace(mention, " ", ""))
-        .when(kind == "name", F.regexp_replace(mention, rf"^(?:{_TITLE_ANY})\.? ", ""))
+        .when(kind.isin("name", "titled"), F.regexp_replace(mention, rf"^{_TITLE}", ""))
         .otherwise(mention)
     )
 
 
+def _gender(mention: Column) -> Column:
+    """m or f by the title, else by the given name; null when neither tells."""
+    by_title = [F.when(mention.rlike(rf"^(?:{titles})\.? "), F.lit(g)) for g, titles in TITLES.items() if g]
+    given = F.substring_index(F.regexp_replace(mention, rf"^{_TITLE}", ""), " ", 1)
+    by_name = [F.when(given.isin(*listed.split()), F.lit(g)) for (g, _), listed in GIVEN.items()]
+    return F.coalesce(*by_title, *by_name)
+
+
+def _full_name(mention: Column, mentions: Column) -> Column:
+    """For a title with a surname: the one full name among the mentions of the
+    text that it can stand for, by surname and gender; null if none or several."""
+    surname, gender = F.substring_index(mention, " ", -1), _gender(mention)
+    fits = F.filter(
+        mentions,
+        lambda m: m.rlike(f"^(?:{PATTERNS['name']})$")
+        & (F.substring_index(m, " ", -1) == surname)
+        & F.coalesce(_gender(m) == gender, F.lit(True)),
+    )
+    names = F.array_distinct(F.transform(fits, lambda m: F.regexp_replace(m, rf"^{_TITLE}", "")))
+    return F.when(mention.rlike(f"^(?:{PATTERNS['titled']})$") & (F.size(names) == 1), F.try_element_at(names, F.lit(1)))
+
+
+def _luhn_sum(digits: Column) -> Column:
+    """The Luhn sum of a text of digits, its last digit counted once."""
+    doubled = lambda d, at: F.when(at % 2 == 0, d).when(d > 4, 2 * d - 9).otherwise(2 * d)
+    values = F.transform(F.split(F.reverse(digits), ""), lambda c, at: doubled(c.cast("int"), at))
+    return F.aggregate(values, F.lit(0), lambda total, d: total + d)
+
+
+def _card(canon: Column, draw: Column) -> Column:
+    """Digits as many as the card's; valid by the Luhn check when the card is."""
+    body = _digits(F.substring(canon, F.lit(1), F.length(canon) - 1), draw)
+    check = F.pmod(-_luhn_sum(F.concat(body, F.lit("0"))), F.lit(10)).cast("string")
+    return F.when(_luhn_sum(canon) % 10 == 0, F.concat(body, check)).otherwise(_digits(canon, draw))
+
+
 def _draw(key: str, *parts: Column) -> Column:
     """64 keyed hex digits."""
     return F.sha2(F.concat_ws("\u0001", F.lit(key), *[p.cast("string") for p in parts]), 256)
@@ -137,11 +181,15 @@ def _surrogate(key: str) -> Column:
             for (_, script), listed in GIVEN.items()
         ]
     )
+    scripts = {"cyrillic": r"\p{IsCyrillic}", "greek": r"\p{IsGreek}"}
+    titled = F.coalesce(*[F.when(canon.rlike(letter), _surname(s, draw)) for s, letter in scripts.items()], _surname("latin", draw))
     return (
         F.when(kind == "email", email)
         .when(kind == "ip", ip)
         .when(kind == "name", names)
-        .when(kind == "secret", _reshaped(canon, draw, hexadecimal=True))
+        .when(kind.isin("secret", "ip6"), _reshaped(canon, draw, hexadecimal=True))
+        .when(kind == "card", _card(canon, draw))
+        .when(kind == "titled", titled)
         .when(kind == "iban", F.concat(F.substring(canon, 1, 2), _reshaped(F.expr("substring(canon, 3)"), draw)))
         .otherwise(_digits(canon, draw))
     )
@@ -207,11 +255,13 @@ def _in_form(kind: Column, mention: Column, surrogate: Column) -> Column:
         )
         return filled
 
-    title = F.regexp_extract(mention, rf"^(?:(?:{_TITLE_ANY})\.? )?", 0)
+    title = F.regexp_extract(mention, rf"^(?:{_TITLE})?", 0)
+    surname_only = mention.rlike(f"^(?:{PATTERNS['titled']})$") & ~mention.rlike(f"^(?:{PATTERNS['name']})$")
     return (
-        F.when(kind.isin("phone", "card", "ssn"), laid("[0-9]"))
+        F.when(kind.isin(*_DIGITS_ONLY), laid("[0-9]"))
         .when(kind == "iban", laid("[0-9A-Z]"))
-        .when(kind == "name", F.concat(title, surrogate))
+        .when((kind == "name") & surname_only, F.concat(title, F.substring_index(surrogate, " ", -1)))
+        .when(kind.isin("name", "titled"), F.concat(title, surrogate))
         .when((kind == "email") & (mention == F.upper(mention)), F.upper(surrogate))
         .otherwise(surrogate)
     )
@@ -225,8 +275,11 @@ def pseudonymise(
     ``key`` decides all draws: the same key gives the same surrogates to the
     same set of entities. A text without entities stays byte by byte; null
     stays null with no mentions. Null and repeated ids keep their rows; an
-    empty table gives no rows. Names are those that begin with a given name of
-    the lists; the surrogate has its gender and script and keeps the title.
+    empty table gives no rows. Other columns are not read. Names are those
+    that begin with a given name of the lists, or a title and a surname; the
+    surrogate has the name's gender and script and keeps the title. A title
+    with a surname stands for the one full name of its text with that surname
+    and gender, if there is one, and else for the surname itself.
     """
     pattern = F.lit(ANY)
     rows = docs.select(
@@ -236,22 +289,25 @@ def pseudonymise(
     found = materialize(rows.filter(some), "mentions")
     clear = rows.filter(~F.coalesce(some, F.lit(False)))
 
-    spoken = (
-        found.select(F.explode(F.array_distinct("mentions")).alias("mention"))
-        .distinct()
-        .withColumn("kind", _kind(F.col("mention")))
-        .withColumn("canon", _canonical(F.col("kind"), F.col("mention")))
+    uses = found.select("row_no", "mentions", F.explode(F.array_distinct("mentions")).alias("mention")).select(
+        "row_no", "mention", _full_name(F.col("mention"), F.col("mentions")).alias("link")
+    )
+    kind = _kind(F.col("mention"))
+    counted = materialize(uses.groupBy("mention", "link").agg(F.count("*").alias("_rows")), "uses")
+    spoken = materialize(
+        counted.select("mention", "link", F.when(F.col("link").isNotNull(), "name").otherwise(kind).alias("kind")).withColumn(
+            "canon", F.coalesce("link", _canonical(F.col("kind"), F.col("mention")))
+        ),
+        "spoken",
     )
-    spoken = materialize(spoken, "spoken")
     mapped = spoken.join(surrogates(spoken.select("kind", "canon").distinct(), key), ["kind", "canon"])
     written = materialize(
-        mapped.select("mention", _in_form(F.col("kind"), F.col("mention"), F.col("surrogate")).alias("written")), "written"
+        mapped.select("mention", "link", _in_form(F.col("kind"), F.col("mention"), F.col("surrogate")).alias("written")), "written"
     )
-    per_row = (
-        found.select("row_no", F.explode(F.array_distinct("mentions")).alias("mention"))
-        .join(written, "mention")
-        .groupBy("row_no")
-        .agg(F.map_from_entries(F.collect_list(F.struct("mention", "written"))).alias("by_mention"))
+    # A mention may be in a third of the texts.
+    named = skew_join(uses, written, ["mention", "link"], "inner", null_safe=True, frequencies=lambda: counted)
+    per_row = named.groupBy("row_no").agg(
+        F.map_from_entries(F.collect_list(F.struct("mention", "written"))).alias("by_mention")
     )
     pieces = F.split("text", ANY, -1)
     swapped = F.transform("mentions", lambda m: F.col("by_mention")[m])

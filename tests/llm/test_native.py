@@ -341,3 +341,79 @@ def test_shards_follow_from_the_blocks(documents, monkeypatch):
     _, copies = mixing.mix(documents(*rows), block_words=20)
     shards = copies.groupBy("shard").agg(F.count("*").alias("n"), F.max("position").alias("last")).collect()
     assert len(shards) > mixing.SHARDS and all(r["n"] == r["last"] for r in shards)
+
+
+LONG = {
+    "name": "John Ab" + "-Ab" * 30_000,
+    "email": "x@" + "a." * 40_000 + "com",
+    "local": "y" * 100_000 + "@mail.example.com",
+    "secret": "24be64439e" * 10_000,
+}
+
+
+def test_very_long_entities(documents):
+    rows = [(k, f"see {text} now") for k, text in enumerate(LONG.values())]
+    got = {r["doc_id"]: r for r in pii.pseudonymise(documents(*rows), "k").collect()}
+    for k, text in enumerate(LONG.values()):
+        assert got[k]["n_mentions"] == 1 and text not in got[k]["text"] and got[k]["text"].endswith(" now")
+
+
+def luhn(digits):
+    values = [int(c) * (1 + at % 2) for at, c in enumerate(reversed(digits))]
+    return sum(v - 9 if v > 9 else v for v in values) % 10 == 0
+
+
+def test_forms_of_numbers_and_addresses(documents):
+    whole = [
+        "4111 1111 1111 1111", "4111111111111111", "3782 822463 10005", "+14155552671", "+49 30 1234567", "+33 1 23 45 67 89",
+        "030/1234567", "(415) 555-2671", "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "fe80::1ff:fe23:4567:890a", "a@b.example.org",
+    ]
+    plain = ["12:30:45", "page 3 of 17", "2024-01-15", "a::b", "std::cc::dd", "v1.2.3", "Missing Person"]
+    rows = [(k, f"x {text}. y") for k, text in enumerate([*whole, *plain])]
+    got = {r["doc_id"]: r for r in pii.pseudonymise(documents(*rows), "k").collect()}
+    for k, text in enumerate(whole):
+        made = got[k]["text"][2:-3]
+        assert got[k]["n_mentions"] == 1 and made != text, text
+        if "@" not in text:
+            assert [c.isalnum() for c in made] == [c.isalnum() for c in text], (text, made)
+        # No group of four characters of the original is left in its place.
+        assert not any(made[at : at + 4] == text[at : at + 4] for at in range(len(text) - 3) if text[at : at + 4].isalnum()), (text, made)
+    for k in (0, 1, 2):
+        assert luhn("".join(c for c in got[k]["text"] if c.isdigit()))
+    assert all(got[len(whole) + k]["n_mentions"] == 0 for k in range(len(plain)))
+
+
+def test_titles_tie_to_the_full_name_of_the_text(documents):
+    rows = [
+        (1, "Anna Becker came. Frau Becker left."), (2, "Mr Smith and Dr. Weber met Herr Becker."), (3, "Anna Becker and Maria Becker; Frau Becker?"),
+        (4, "Mr Becker is not Anna Becker."), (5, "Mr Smith again"),
+    ]
+    got = {r["doc_id"]: r["text"] for r in pii.pseudonymise(documents(*rows), "k").collect()}
+    first, second = got[1].split(" came. Frau ")
+    assert second == f"{first.split()[-1]} left." and "Becker" not in got[1] and "Anna" not in got[1]
+    assert not any(name in " ".join(got.values()) for name in ("Mr Smith", "Dr. Weber", "Herr Becker", "Frau Becker", "Mr Becker"))
+    assert got[2].split(" and ")[0] == got[5].removesuffix(" again")
+    assert got[4].endswith(f"is not {first}.") and got[3].startswith(first)
+
+
+def test_personal_data_by_brute_force(documents):
+    """Every text is its own with each mention found by the pattern replaced by the surrogate of that mention."""
+    import regex
+
+    texts = [
+        "Write John Miller, +1 743 555-3824, or jo@ex.com; John Miller (Mr Miller) pays by 4111 1111 1111 1111.",
+        "jo@ex.com and JO@EX.COM from 10.0.0.1", "nothing", "Mr Miller alone, 10.0.0.1", "sk_0123456789abcdef0123 twice sk_0123456789abcdef0123",
+    ]
+    got = [r["text"] for r in sorted(pii.pseudonymise(documents(*enumerate(texts)), "k").collect(), key=lambda r: r["doc_id"])]
+    seen, patterns = {}, regex.compile(pii.ANY)
+    for text, made in zip(texts, got, strict=True):
+        pieces, at = patterns.split(text), 0
+        mentions = [m.group() for m in patterns.finditer(text)]
+        assert made.startswith(pieces[0]) and (mentions or made == text)
+        for k, mention in enumerate(mentions):
+            at += len(pieces[k])
+            end = made.index(pieces[k + 1], at + 1) if pieces[k + 1] else len(made)
+            titled = mention == "Mr Miller" and "John Miller" in mentions
+            assert seen.setdefault((mention, titled), made[at:end]) == made[at:end] != mention
+            at = end
+    assert len(set(seen.values())) == len(seen)
