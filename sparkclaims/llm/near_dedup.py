@@ -11,12 +11,18 @@ table exactly if they share a band of A and a band of B: at a similarity s and
 Documents that met are candidates. Candidate clusters, the components of the
 "met" graph, are then verified on the full shingle sets:
 
-- A document whose shingles occur in no other document of its cluster for more
-  than 15 % can have no link; it is set aside (exact, by counting).
-- What stays of a cluster is cut in tiles of ``TILE`` documents by size of set.
-  Each pair of tiles whose sizes allow a link is one group: the overlaps of its
-  documents are counted exactly, and it returns links that join what it found
-  linked, at most one per document. No list of pairs is ever made.
+- In a cluster of more than ``TILE`` documents, leaders are drawn: of some 64
+  of its documents, compared with each other, those that link most. Every
+  member is compared with the leaders of its cluster, one row per member.
+- What links with no leader is then tested by its prefix: in the order "shingles
+  that no leader has first", two sets at the bound share one of their first
+  n - ceil(bound * n) + 1 shingles. A member whose prefix nobody shares has no
+  link (exact). Leaders are drawn again from the rest while that resolves it.
+- What stays is cut in tiles of ``TILE`` documents by size of set and by what
+  the leaders linked already. Each pair of tiles whose sizes allow a link, and
+  which is not linked already, is one group: the overlaps of its documents are
+  counted exactly, and it returns links that join what it found linked, at most
+  one per document. No list of pairs is ever made.
 """
 
 from __future__ import annotations
@@ -32,6 +38,7 @@ from pyspark.sql import functions as F
 from sparkclaims.llm import hashing
 from sparkclaims.llm.arrow import slices
 from sparkclaims.llm.components import components
+from sparkclaims.llm.words import bind
 from sparkclaims.storage import materialize
 
 SHINGLE = 5
@@ -39,6 +46,8 @@ PERCENT = 85
 GROUPS = 7
 ROWS = 2
 TILE = 128
+#: Members compared to choose leaders (about), leaders of a round, and the share of open members that a round must resolve to be followed by one more.
+DRAWN, LEADERS, RESOLVED = 64, 4, 0.125
 # Columns of one block of the overlap counts.
 _BLOCK = 4096
 
@@ -153,57 +162,163 @@ def _with_sets(docs: DataFrame, members: DataFrame, id_col: str, text_col: str,
     return found.mapInArrow(collect, "node long, cluster long, shingles array<long>")
 
 
-def _linkable(sets: DataFrame, percent: int, tile: int) -> DataFrame:
-    """cluster, node and n (size of set) of the members that may have a link.
+def _leaders(group: pd.DataFrame, percent: int, most: int) -> pd.DataFrame:
+    """Of a few members of one cluster, those that link most of what the ones before them do not."""
+    group = group.sort_values("node")
+    sets = [np.asarray(s, dtype=np.int64) for s in group["shingles"]]
+    linked = _linked(sets, percent)
+    np.fill_diagonal(linked, True)
+    chosen, free = [], np.ones(len(sets), dtype=bool)
+    while len(chosen) < most and free.any():
+        gain = (linked & free).sum(axis=1)
+        best = int(gain.argmax())
+        # The first leader also tells the cluster's common shingles; a further one must link something.
+        if chosen and gain[best] < 2:
+            break
+        chosen.append(best)
+        free &= ~linked[best]
+    return group.iloc[chosen][["cluster", "node", "shingles"]].rename(columns={"node": "leader"})
+
+
+def _compared(sets: DataFrame, alive: DataFrame, opened: DataFrame, percent: int, turn: int) -> DataFrame:
+    """cluster, node, n, near (leaders linked with it) and prefix of the members of the ``opened`` clusters.
+
+    ``opened`` has the number of open members of each cluster.
+    """
+    drawn = (
+        alive.filter("open")
+        .join(opened, "cluster")
+        .filter(F.pmod(F.xxhash64("node", F.lit(turn)), "n_open") < DRAWN)
+        .select("node")
+    )
+    leads = materialize(
+        sets.join(drawn, "node")
+        .select("cluster", "node", "shingles")
+        .groupBy("cluster")
+        .applyInPandas(lambda g: _leaders(g, percent, LEADERS), "cluster long, leader long, shingles array<long>")
+        .groupBy("cluster")
+        .agg(F.collect_list(F.struct("leader", "shingles")).alias("leads")),
+        "leaders",
+    )
+    n = F.size("shingles")
+
+    def links(lead: Column) -> Column:
+        return bind(
+            F.size(F.array_intersect("shingles", lead["shingles"])),
+            lambda shared: 100 * shared >= percent * (n + F.size(lead["shingles"]) - shared),
+        )
+
+    known = F.flatten(F.transform("leads", lambda lead: lead["shingles"]))
+    ordered = F.concat(F.array_except("shingles", known), F.array_intersect("shingles", known))
+    length = (n - F.ceil(n * percent / 100) + 1).cast("int")
+    near = F.transform(F.filter("leads", links), lambda lead: lead["leader"])
+    return materialize(
+        sets.select("node", "shingles")
+        .join(alive, "node")
+        .join(leads, "cluster")
+        .select("cluster", "node", "open", n.alias("n"), near.alias("near"), F.slice(ordered, 1, length).alias("prefix")),
+        "compared",
+    )
+
+
+def _alone(compared: DataFrame) -> DataFrame:
+    """node of the members whose prefix no other member of the cluster shares a shingle of."""
+    return (
+        compared.select("cluster", "node", F.size("prefix").alias("length"), F.explode("prefix").alias("shingle"))
+        .groupBy("cluster", "shingle")
+        .agg(F.min(F.struct("node", "length")).alias("first"), F.max("node").alias("last"))
+        .filter(F.col("first.node") == F.col("last"))
+        .groupBy(F.col("last").alias("node"))
+        .agg(F.count("*").alias("own"), F.first("first.length").alias("length"))
+        .filter("own = length")
+        .select("node")
+    )
+
 
-    In a cluster of more than one tile, a set with more than (100 - percent) %
-    of shingles of its own has none: a link needs 100 * shared >= percent *
-    union, and the union holds them.
+def _resolved(sets: DataFrame, percent: int, tile: int) -> tuple[DataFrame, DataFrame | None]:
+    """cluster, node, n and label of the members still to compare; and the links found by leaders.
+
+    Members with one label are linked already; a null label is none. All
+    members of clusters within one tile are there, without label.
     """
     sized = sets.select("cluster", "node", F.size("shingles").alias("n"))
-    large = sized.groupBy("cluster").count().filter(F.col("count") > tile).select("cluster")
-    alone = (
-        sets.join(large, "cluster", "left_semi")
-        .select("cluster", "node", F.explode("shingles").alias("shingle"))
-        .groupBy("cluster", "shingle")
-        .agg(F.min("node").alias("node"), F.max("node").alias("other"))
-        .filter(F.col("node") == F.col("other"))
-        .groupBy("node")
-        .agg(F.count("*").alias("own"))
+    # One row per large cluster, written so that its size is known before it is joined.
+    large = materialize(
+        sized.groupBy("cluster").agg(F.count("*").alias("n_open")).filter(F.col("n_open") > tile), "large"
     )
-    shared = F.col("n") - F.coalesce("own", F.lit(0))
-    return materialize(
-        sized.join(alone, "node", "left").filter(100 * shared >= percent * F.col("n")).select("cluster", "node", "n"),
-        "linkable",
+    small = sized.join(large, "cluster", "left_anti").withColumn("label", F.lit(None).cast("long"))
+    total = large.agg(F.sum("n_open")).first()[0]
+    if not total:
+        return small, None
+    alive = materialize(
+        sized.join(large.select("cluster"), "cluster", "left_semi").withColumn("open", F.lit(True)), "alive"
     )
+    opened, settled, links, turn = large, None, None, 0
+    while total:
+        compared = _compared(sets, alive.select("cluster", "node", "open"), opened, percent, turn)
+        found = materialize(
+            compared.select("node", F.explode("near").alias("b"))
+            .filter("node <> b")
+            .select(F.col("node").alias("a"), "b"),
+            "led",
+        )
+        links = found if links is None else links.union(found)
+        linked = F.size("near") > 0
+        rest = compared.join(_alone(compared).withColumn("alone", F.lit(True)), "node", "left").filter(
+            linked | ~F.col("open") | F.col("alone").isNull()
+        )
+        after = materialize(
+            rest.select("cluster", "node", "n", (F.col("open") & ~linked).alias("open")), "alive"
+        )
+        n_open = after.groupBy("cluster").agg(F.sum(F.col("open").cast("long")).alias("n_open"))
+        more = materialize(n_open.filter(F.col("n_open") > tile), "opened")
+        before, total = total, more.agg(F.sum("n_open")).first()[0] or 0
+        if total > (1 - RESOLVED) * before:
+            total = 0
+        # Clusters that need no leaders any more are left as they are.
+        done = after if not total else after.join(more.select("cluster"), "cluster", "left_anti")
+        settled = done if settled is None else settled.union(done)
+        alive = after.join(more.select("cluster"), "cluster", "left_semi")
+        opened, turn = more, turn + 1
+    labels = components(links).withColumnRenamed("component", "label")
+    return small.unionByName(settled.drop("open").join(labels, "node", "left")), links
 
 
 def _tiled(sized: DataFrame, percent: int, tile: int) -> DataFrame:
     """Members with the pairs of tiles (p <= q) in which they are compared.
 
-    The tiles of a cluster are ranges of set sizes, split evenly at random
-    within a size; a pair of tiles is left out when no sizes of it can link.
+    The tiles of a cluster are ranges of set sizes under one label, split
+    evenly at random; a pair of tiles is left out when no sizes of it can link
+    or its label is the same.
     """
     # Sizes within 2 % are one step; a cluster's members of a step are spread over tiles.
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.02))).cast("int")
-    stepped = sized.withColumn("step", step)
-    counts = stepped.groupBy("cluster", "step").agg(F.count("*").alias("m"))
+    stepped = sized.withColumn("step", step).withColumn("label", F.coalesce("label", F.lit(-1)))
+    counts = stepped.groupBy("cluster", "step", "label").agg(F.count("*").alias("m"))
     reach = F.lit(int(np.ceil(np.log(100 / percent) / np.log(1.02))) + 1)
-    spread = counts.groupBy("cluster").agg(
-        F.sum("m").alias("members"),
-        F.sort_array(F.collect_list(F.struct("step", F.ceil(F.col("m") / tile).cast("int").alias("tiles")))).alias("steps"),
+    tiles = F.ceil(F.col("m") / tile).cast("int").alias("tiles")
+    # Labels are at most the leaders of a cluster, steps at most some hundreds; written so that its size is known.
+    spread = materialize(
+        counts.groupBy("cluster").agg(
+            F.sum("m").alias("members"), F.sort_array(F.collect_list(F.struct("step", "label", tiles))).alias("steps")
+        ).filter("members > 1"),
+        "spread",
     )
     joined = stepped.join(spread, "cluster")
-    mine = F.filter("steps", lambda s: s["step"] == F.col("step"))[0]["tiles"]
+    mine = F.filter("steps", lambda s: (s["step"] == F.col("step")) & (s["label"] == F.col("label")))[0]["tiles"]
     placed = joined.withColumn("part", F.pmod(F.xxhash64("node"), mine).cast("int"))
     # A cluster of one tile's size is one group.
-    me = F.struct(F.col("step").alias("step"), F.col("part").alias("part"))
+    me = F.struct("step", "label", "part")
     others = F.flatten(
         F.transform(
-            F.filter("steps", lambda s: F.abs(s["step"] - F.col("step")) <= reach),
+            F.filter(
+                "steps",
+                lambda s: (F.abs(s["step"] - F.col("step")) <= reach)
+                & ((s["label"] != F.col("label")) | (F.col("label") == -1)),
+            ),
             lambda s: F.transform(
                 F.sequence(F.lit(0), s["tiles"] - 1),
-                lambda k: F.struct(s["step"].alias("step"), k.alias("part")),
+                lambda k: F.struct(s["step"].alias("step"), s["label"].alias("label"), k.alias("part")),
             ),
         )
     )
@@ -217,7 +332,7 @@ def _tiled(sized: DataFrame, percent: int, tile: int) -> DataFrame:
             ),
         )
     )
-    return placed.filter("members > 1").select("cluster", "node", F.explode(pairs).alias("tiles"))
+    return placed.select("cluster", "node", F.explode(pairs).alias("tiles"))
 
 
 def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -238,15 +353,20 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return total
 
 
-def _links(group: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Links that join the documents of a group as all its links would."""
-    group = group.drop_duplicates("node")
-    nodes = group["node"].to_numpy()
-    sets = [np.asarray(s, dtype=np.int64) for s in group["shingles"]]
+def _linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which sets of a group are linked."""
     sizes = np.array([len(s) for s in sets])
     shared = _overlaps(sets)
     linked = 100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared)
     np.fill_diagonal(linked, False)
+    return linked
+
+
+def _links(group: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links that join the documents of a group as all its links would."""
+    group = group.drop_duplicates("node")
+    nodes = group["node"].to_numpy()
+    linked = _linked([np.asarray(s, dtype=np.int64) for s in group["shingles"]], percent)
     seen = np.zeros(len(nodes), dtype=bool)
     a, b = [], []
     for root in range(len(nodes)):
@@ -305,13 +425,14 @@ def near_groups(
         "members",
     )
     sets = materialize(_with_sets(docs, members, id_col, text_col, size), "sets")
+    left, led = _resolved(sets, percent, tile)
     links = (
         sets.drop("cluster")
-        .join(_tiled(_linkable(sets, percent, tile), percent, tile), "node")
+        .join(_tiled(left, percent, tile), "node")
         .groupBy("cluster", "tiles")
         .applyInPandas(lambda group: _links(group, percent), "a long, b long")
     )
-    found = components(links)
+    found = components(links if led is None else links.union(led))
     named = nodes.join(found, "node", "left").select(
         "digest", "least_id", F.coalesce("component", "node").alias("component")
     )
