@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from sparkclaims.llm import hashing
 from sparkclaims.llm.arrow import slices
 from sparkclaims.llm.components import components
-from sparkclaims.llm.words import bind
+from sparkclaims.llm.words import BLANK_RUN, bind
 from sparkclaims.storage import materialize
 
 SHINGLE = 5
@@ -79,7 +79,7 @@ def _digests(sums: np.ndarray) -> pa.Array:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, groups: int, rows: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, bands_a, bands_b of every row."""
+    """doc_id, text_key (hash of the text), n_shingles, digest of the set, bands_a, bands_b of every row."""
     count = 2 * groups * rows
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,15 +103,22 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, groups: int
                 for side in (bands[:, :groups], bands[:, groups:])
             ]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(counts, pa.int64()), _digests(sums), *lists],
-                ["doc_id", "n_shingles", "digest", "bands_a", "bands_b"],
+                [part.column(0), part.column(1), pa.array(counts, pa.int64()), _digests(sums), *lists],
+                ["doc_id", "text_key", "n_shingles", "digest", "bands_a", "bands_b"],
             )
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        sketch, "doc_id long, n_shingles long, digest binary, bands_a array<long>, bands_b array<long>"
+    return _keyed(docs, id_col, text_col).mapInArrow(
+        sketch,
+        "doc_id long, text_key long, n_shingles long, digest binary, bands_a array<long>, bands_b array<long>",
     )
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text_key and text: rows that repeat an id, or have none, are told apart by their texts."""
+    text = F.col(text_col)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+
+
 def _tables(groups: int) -> Column:
     """The keys of all tables: every band of A with every band of B."""
     return F.flatten(
@@ -143,7 +150,13 @@ def _with_sets(docs: DataFrame, members: DataFrame, id_col: str, text_col: str,
     """node, cluster and the set of shingles of each member, from the texts of one row each."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for part, texts in slices(batches, "text"):
+            # Rows that repeat an id and a text follow each other; one of them will do.
+            ids = part.column(1).to_pylist()
+            fresh = [node != before for node, before in zip(ids, [last, *ids])]
+            last = ids[-1] if ids else last
+            part, texts = part.filter(pa.array(fresh, pa.bool_())), [t for t, f in zip(texts, fresh) if f]
             flat, starts, sums = _sets(texts, size)
             digests = _digests(sums)
             same = [a == b for a, b in zip(digests.to_pylist(), part.column(0).to_pylist())]
@@ -154,11 +167,11 @@ def _with_sets(docs: DataFrame, members: DataFrame, id_col: str, text_col: str,
                 [part.column(1), part.column(2), lists], ["node", "cluster", "shingles"]
             ).filter(pa.array(same, pa.bool_()))
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = _keyed(docs, id_col, text_col)
     # The members grow with the input, so they are never broadcast.
-    found = rows.join(members.hint("merge"), rows.doc_id.eqNullSafe(members.some_id)).select(
-        "digest", "node", "cluster", "text"
-    )
+    found = rows.join(
+        members.hint("merge"), (rows.text_key == members.some_key) & rows.doc_id.eqNullSafe(members.some_id)
+    ).select("digest", "node", "cluster", "text")
     return found.mapInArrow(collect, "node long, cluster long, shingles array<long>")
 
 
@@ -406,22 +419,37 @@ def near_groups(
     rows that repeat the smallest id are all kept. Other columns are not
     looked at, and an empty table gives an empty result.
     """
+    return _grouped(docs, id_col, text_col, size, percent, groups, rows, tile).select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    )
+
+
+def _grouped(
+    docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, groups: int, rows: int, tile: int
+) -> DataFrame:
+    """doc_id, text_key, n_shingles, component_id and component (null for empty sets) of every row."""
     rows_ = materialize(sketches(docs, id_col, text_col, size, groups, rows), "sketches")
     some = rows_.filter("n_shingles > 0")
     nodes = materialize(
         some.groupBy("digest")
         .agg(
-            F.max("doc_id").alias("some_id"),
+            F.max(F.struct("doc_id", "text_key")).alias("some"),
             F.min("doc_id").alias("least_id"),
             F.first("bands_a").alias("bands_a"),
             F.first("bands_b").alias("bands_b"),
         )
-        .select(F.monotonically_increasing_id().alias("node"), "*"),
+        .select(
+            F.monotonically_increasing_id().alias("node"),
+            F.col("some.doc_id").alias("some_id"),
+            F.col("some.text_key").alias("some_key"),
+            "*",
+        )
+        .drop("some"),
         "nodes",
     )
     clusters = components(_met(nodes, groups))
     members = materialize(
-        nodes.join(clusters, "node").select("digest", "some_id", "node", F.col("component").alias("cluster")),
+        nodes.join(clusters, "node").select("digest", "some_id", "some_key", "node", F.col("component").alias("cluster")),
         "members",
     )
     sets = materialize(_with_sets(docs, members, id_col, text_col, size), "sets")
@@ -437,13 +465,14 @@ def near_groups(
         "digest", "least_id", F.coalesce("component", "node").alias("component")
     )
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    names = named.join(least, "component").select("digest", "component_id")
-    linked = some.select("doc_id", "n_shingles", "digest").join(names, "digest")
+    names = named.join(least, "component").select("digest", "component", "component_id")
+    linked = some.select("doc_id", "text_key", "n_shingles", "digest").join(names, "digest")
     empty = rows_.filter("n_shingles = 0")
-    result = linked.select("doc_id", "n_shingles", "component_id").union(
-        empty.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return linked.select("doc_id", "text_key", "n_shingles", "component_id", "component").union(
+        empty.select(
+            "doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(None).cast("long")
+        )
     )
-    return result.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def drop_near_copies(
@@ -455,8 +484,38 @@ def drop_near_copies(
 ) -> DataFrame:
     """One row of each component stays: that with the smallest id.
 
-    Of rows that repeat an id, any one of the equal ones stays; a row with a
-    null id stays unless an equal set has one that is not null.
+    A null id counts as larger than any; equal ids go by a hash of the text,
+    and of rows with one id and one text any one stays. Texts without words
+    are in no component: all their rows stay. The columns may have any names,
+    and an empty table gives an empty result.
     """
-    kept = near_groups(docs, id_col, text_col, percent=percent, groups=groups).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(F.col("_kept_id")), "left_semi")
+    grouped = materialize(_grouped(docs, id_col, text_col, SHINGLE, percent, groups, ROWS, TILE), "grouped")
+    # Ids and hashes only; a large component is combined before the shuffle.
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    chosen = materialize(
+        grouped.filter("component IS NOT NULL")
+        .groupBy("component")
+        .agg(F.min(order).alias("least"))
+        .select(F.col("least.doc_id").alias("kept_id"), F.col("least.text_key").alias("kept_key")),
+        "chosen",
+    )
+    repeated = materialize(
+        grouped.filter("component IS NOT NULL")
+        .groupBy(F.col("doc_id").alias("again_id"), F.col("text_key").alias("again_key"))
+        .agg(F.count("*").alias("n"))
+        .filter("n > 1")
+        .drop("n"),
+        "repeated",
+    )
+    whole = F.struct(*[docs[f"`{c}`"] for c in docs.columns])
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(docs[text_col]).alias("text_key"), whole.alias("row"))
+    this = (F.col("text_key") == F.col("kept_key")) & F.col("doc_id").eqNullSafe(F.col("kept_id"))
+    again = (F.col("text_key") == F.col("again_key")) & F.col("doc_id").eqNullSafe(F.col("again_id"))
+    wordless = F.regexp_replace(F.coalesce(F.col(f"row.`{text_col}`"), F.lit("")), BLANK_RUN, "") == ""
+    kept = rows.filter(~wordless).join(chosen, this, "left_semi")
+    once = kept.join(repeated, again, "left_anti")
+    # Equal rows collapse within tasks.
+    collapsed = kept.join(repeated, again, "left_semi").groupBy("doc_id", "text_key").agg(F.first("row").alias("row"))
+    return (
+        once.select("row.*").unionAll(collapsed.select("row.*")).unionAll(rows.filter(wordless).select("row.*"))
+    )

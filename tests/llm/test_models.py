@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sparkclaims.llm import components, hashing, near_dedup, packing, ppm, toxicity
 from sparkclaims.llm.queries import QUERIES
@@ -72,6 +73,38 @@ def test_near_copies_edges(documents):
     assert kept.columns == docs.columns
 
 
+def test_one_row_of_each_group_stays(spark, documents):
+    """Repeated rows, null ids, texts without words, and columns named as those used inside."""
+    words = [f"w{k}" for k in range(60)]
+    near = " ".join([*words[:59], "other"])
+    rows = [(3, " ".join(words)), (3, " ".join(words)), (None, near), (7, near), (None, "a b c"), (None, "a b c"),
+            (None, "A b c"), (None, "d e f"), (4, "x y z"), (4, "k l m"), (5, None), (5, None), (6, " \n"), (None, "")]
+    docs = documents(*rows)
+    for name in ("node", "digest", "component", "row", "text_key", "kept_id", "again.key"):
+        docs = docs.withColumn(name, F.lit(name))
+    kept = near_dedup.drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r["doc_id"], (r["text"] or "").lower()) for r in kept.collect()), key=str)
+    least = [(3, " ".join(words)), (None, "a b c"), (None, "d e f"), (4, "x y z"), (4, "k l m"), (5, ""), (5, ""), (6, " \n"), (None, "")]
+    assert got == sorted(least, key=str)
+    assert near_dedup.drop_near_copies(documents()).collect() == []
+
+
+def test_many_null_ids_and_repeated_rows_meet_only_their_own_text(documents):
+    words = [f"w{k}" for k in range(100)]
+    rows = [(None, " ".join([*words[:k], "x", *words[k + 1:]])) for k in range(100)]
+    rows += [(9, " ".join(words))] * 50
+    docs = documents(*rows)
+    got = near_dedup.near_groups(docs, tile=16).collect()
+    assert len(got) == 150 and {r["component_id"] for r in got} == {9}
+    sets = near_dedup._with_sets(
+        docs.coalesce(1),
+        docs.sparkSession.createDataFrame([(b"", 9, 0, 0, 0)], "digest binary, some_id long, some_key long, node long, cluster long"),
+        "doc_id", "text", 5,
+    )
+    assert sets.count() == 0
+
+
 def test_the_stage_drops_copies_from_80_percent_on(spark, documents):
     """Pairs with one changed word: 5 of n + 1 shingles differ, so n = 45 to 60 are between 0.80 and 0.85."""
     import corpus_pipeline
