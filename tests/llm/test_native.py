@@ -71,6 +71,31 @@ def test_line_dedup_takes_clashing_columns(documents):
     assert row["lines_dropped"] == 0 and row["host"] == "x" and row["key"] == "a b"
 
 
+def test_lines_of_a_hot_host_without_broadcast(spark, documents, monkeypatch):
+    rows = [(k, f"top\nline {k}\nend", "hot" if k % 3 else None if k % 2 else f"h{k % 7}") for k in range(400)]
+    docs = documents(*rows).selectExpr("*", "1 AS keys", "2 AS `left`", "3 AS `row`", "4 AS _keys", "5 AS _salt", "6 AS `a.b`")
+    whole = sorted(map(tuple, line_dedup.drop_boilerplate(docs).collect()), key=lambda r: r[0])
+    assert all(r[1].startswith("line") and r[-1] == 2 for r in whole) and whole[7][5:11] == (1, 2, 3, 4, 5, 6)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr(line_dedup, "HOT_PAGES", 50)
+    monkeypatch.setattr(line_dedup, "HOT_LINES", 1)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        cut = line_dedup.drop_boilerplate(docs)
+        plan = cut._jdf.queryExecution().optimizedPlan().toString()
+        assert "_salt" in plan and sorted(map(tuple, cut.collect()), key=lambda r: r[0]) == whole
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_very_long_and_malformed_lines(spark, documents):
+    long = "x " * 300_000
+    rows = [(k, f"{long}\n{'y' * 100_000}\nown {k}", "a") for k in range(4)]
+    assert {r["text"] for r in line_dedup.drop_boilerplate(documents(*rows)).collect()} == {f"own {k}" for k in range(4)}
+    odd = spark.range(4).selectExpr("id AS doc_id", "cast(X'FF6120' AS string) || '\\n' || id AS text", "'a' AS source")
+    assert {r["text"] for r in line_dedup.drop_boilerplate(odd).collect()} == set("0123")
+
+
 def test_host_of(spark):
     df = spark.createDataFrame([("HTTP://WWW.Ex.com:80/a",), ("no url",), (None,)], "url string")
     assert [r[0] for r in df.select(line_dedup.host_of(df.url)).collect()] == ["www.ex.com", None, None]
