@@ -17,7 +17,7 @@ import functools
 import math
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -42,10 +42,14 @@ LOOK_ALIKE = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e",
 }
+# Letters of other scripts that look like Latin ones.
+OTHER_SCRIPTS = {
+    "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "ѕ": "s", "і": "i", "ј": "j", "ԁ": "d",
+    "һ": "h", "к": "k", "м": "m", "т": "t", "в": "b", "α": "a", "ο": "o", "ν": "v", "ι": "i", "κ": "k", "ρ": "p", "τ": "t",
+}
 SEPARATORS = " .-_*"
 # Log probabilities of the channel's steps.
 SWAPPED, SPACED, REPEATED, LITERAL = -1.0, -1.0, -1.0, -3.0
-BEAM = 64
 
 _LISTED = "abcdefghijklmnopqrstuvwxyz" + "".join(
     c for c in map(chr, range(0xDF, 0x180)) if c.isalpha() and c == c.lower()
@@ -60,10 +64,34 @@ _TABLE[0x2000:0x2070] = 0
 
 _LETTER = "[^\\W\\d_]"
 _SIGNS = re.escape("".join(LOOK_ALIKE))
-_APART = re.compile(rf"(?<!\S){_LETTER}(?:[{re.escape(SEPARATORS)}]{_LETTER}){{2,}}(?!{_LETTER})")
-_INSIDE = re.compile(rf"{_LETTER}[{_SIGNS}]+{_LETTER}|^[{_SIGNS}]{_LETTER}{{2}}|({_LETTER})\1\1")
+_ALIKE = "".join(OTHER_SCRIPTS)
+# Letters or signs set apart by one separator or up to three equal ones.
+_ONE = rf"(?:{_LETTER}|[{_SIGNS}])"
+_APART = re.compile(rf"(?<!\S){_ONE}(?:([{re.escape(SEPARATORS)}])\1{{0,2}}{_ONE}){{2,}}(?![^\W_])")
+_ANY_LETTER = re.compile(_LETTER)
+# Signs between letters, a sign before letters, letters three times, two equal signs for a double
+# letter at the end, nothing but doubled letters, letters of two scripts.
+_INSIDE = re.compile(
+    rf"{_LETTER}[{_SIGNS}]+{_LETTER}|^[{_SIGNS}]{_LETTER}{{2}}|({_LETTER})\1\1|{_LETTER}([{_SIGNS}])\2$"
+    rf"|^(?:({_LETTER})\3){{3,}}$|[a-z][{_ALIKE}]|[{_ALIKE}][a-z]",
+    re.IGNORECASE,
+)
 _TOKEN = re.compile(r"\S+")
 _TRIM = "!?.,;:%*&$#|\"'()[]{}<>"
+# Signs that may stand for a word's first or last letters.
+_BEFORE, _AFTER = "$!", "$"
+_TRIM_LEFT = "".join(c for c in _TRIM if c not in _BEFORE)
+_TRIM_RIGHT = "".join(c for c in _TRIM if c not in _AFTER)
+
+
+_SIGN_BYTES = np.frombuffer("".join(LOOK_ALIKE).encode(), np.uint8)
+_SEPARATOR_BYTES = np.frombuffer(SEPARATORS.encode(), np.uint8)
+_BLANK_BYTES = np.frombuffer(b" \t\n\v\f\r", np.uint8)
+
+
+def _decoded(text: bytes) -> str:
+    """Malformed bytes are read as U+FFFD, which is no letter."""
+    return text.decode("utf-8", "replace")
 
 
 # --- character model ----------------------------------------------------------
@@ -75,7 +103,7 @@ def trigram_counts(texts: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CLASSES**3, np.int64)
         for _, part in slices(batches, "text"):
-            wide = np.frombuffer(b"  ".join(part).decode().encode("utf-32-le"), np.uint32)
+            wide = np.frombuffer(_decoded(b"  ".join(part)).encode("utf-32-le"), np.uint32)
             kind = _TABLE[np.minimum(wide, 0xFFFF)]
             total += np.bincount((kind[:-2] * CLASSES + kind[1:-1]) * CLASSES + kind[2:], minlength=len(total))
         some = np.flatnonzero(total)
@@ -99,13 +127,19 @@ def character_model(texts: DataFrame) -> np.ndarray:
 
 
 def decode(span: str, model: np.ndarray) -> str:
-    """The likeliest text behind ``span``, in lower case; a sign that stands for no letter stays."""
+    """The likeliest text behind ``span``, in lower case; a sign that stands for no letter stays.
+
+    The search is exact. A state is the last two classes written: those of the
+    last two signs that are no separators, or of a separator, so at most 28.
+    """
     states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
     before = ""
     for sign in span.lower():
         kind = _CLASS.get(sign, 1 if sign.isalpha() else 0)
         steps: list[tuple[str, int, float]] = [(sign, kind, 0.0)] if kind else [(sign, 0, LITERAL if sign in LOOK_ALIKE else 0.0)]
-        steps += [(letter, _CLASS[letter], SWAPPED) for letter in LOOK_ALIKE.get(sign, "")]
+        steps += [
+            (letter, _CLASS[letter], SWAPPED) for letter in LOOK_ALIKE.get(sign) or OTHER_SCRIPTS.get(sign, "")
+        ]
         silent = SPACED if sign in SEPARATORS else REPEATED if sign == before and kind else None
         following: dict[tuple[int, int], tuple[float, str]] = {}
         for (a, b), (weight, text) in states.items():
@@ -115,60 +149,118 @@ def decode(span: str, model: np.ndarray) -> str:
             for value, state, out in options:
                 if state not in following or following[state][0] < value:
                     following[state] = (value, out)
-        if len(following) > BEAM:
-            best = sorted(following.items(), key=lambda item: -item[1][0])[:BEAM]
-            following = dict(best)
         states, before = following, sign
     value, text = max((w + float(model[a, b, 0]), out) for (a, b), (w, out) in states.items())
     return text
 
 
-def suspects(texts: list[bytes]) -> np.ndarray:
-    """Which texts may hold a disguised span, by a test of their bytes."""
-    data = np.frombuffer(b" ".join([*texts, b"      "]).lower(), np.uint8)
+class Suspects(NamedTuple):
+    """Tokens of a batch that may be disguised, in order, and which texts may hold letters set apart."""
+
+    owners: np.ndarray
+    begins: np.ndarray
+    ends: np.ndarray
+    apart: np.ndarray
+
+
+def suspects(texts: list[bytes]) -> Suspects:
+    """What may be disguised, by a test of the bytes that misses nothing the patterns find in Latin letters."""
+    joined = b" ".join([*texts, b"       "]).lower()
+    data = np.frombuffer(joined, np.uint8).copy()
+    # Capitals of Latin-1 are two bytes, the second 0x20 below that of the small letter.
+    data[1:][(data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E)] += 0x20
     ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
-    letter = ((data >= 97) & (data <= 122)) | (data >= 0x80)
-    sign = np.isin(data, np.frombuffer("".join(LOOK_ALIKE).encode(), np.uint8)) & ~letter
-    # The bytes of the euro sign count as letters, so look for it by its own.
-    euro = (data == 0xE2) if "€" in LOOK_ALIKE else np.zeros(len(data), bool)
-    apart = np.isin(data, np.frombuffer(SEPARATORS.encode(), np.uint8))
-    n = len(data) - 6
+    firsts = np.concatenate(([0], ends[:-1]))
+    n = len(data) - 7
+    latin, high = (data >= 97) & (data <= 122), data >= 0x80
+    letter = latin | high
+    sign = np.isin(data, _SIGN_BYTES) & ~letter
+    one, separator = letter | sign, np.isin(data, _SEPARATOR_BYTES)
     at = lambda mask, k: mask[k : n + k]
-    found = at(letter, 0) & at(sign, 1) & (at(letter, 2) | at(sign, 2))
-    found |= ~at(letter, 0) & ~at(sign, 0) & at(sign, 1) & at(letter, 2) & at(letter, 3)
-    found |= (at(data, 0) == at(data, 1)) & (at(data, 1) == at(data, 2)) & at(letter, 0)
-    found |= ~at(letter, 0) & at(letter, 1) & at(apart, 2) & at(letter, 3) & at(apart, 4) & at(letter, 5)
-    # Letters of two bytes set apart: a separator after each of two letters.
-    found |= at(apart, 0) & at(letter, 1) & at(letter, 2) & at(apart, 3) & (at(data, 1) >= 0xC3) & (at(data, 2) < 0xC0)
-    found |= at(euro, 0)
+    same = lambda i, k: data[i : n + i] == data[k : n + k]
+    # A sign between letters, a sign before letters, letters three times (also of two bytes).
+    found = at(letter, 0) & at(sign, 1) & at(one, 2)
+    found |= at(sign, 0) & at(letter, 1) & at(letter, 2)
+    found |= at(letter, 0) & same(0, 1) & same(1, 2)
+    found |= at(data >= 0xC3, 0) & same(0, 2) & same(1, 3) & same(2, 4) & same(3, 5)
+    # Two equal signs after a letter, three doubled letters, letters of two scripts; the euro sign.
+    found |= at(letter, 0) & at(sign, 1) & same(1, 2) & ~at(one, 3)
+    found |= at(latin, 0) & at(latin, 2) & at(latin, 4) & same(0, 1) & same(2, 3) & same(4, 5)
+    other = (data >= 0xCE) & (data <= 0xD4)
+    found |= (at(latin, 0) & at(other, 1)) | (at(other, 0) & at(latin, 2))
+    found |= at(data == 0xE2, 0)
+    found[firsts[firsts < n]] = True
+    # Single letters and signs set apart by one separator, or by two or three; letters of two bytes.
+    apart = ~at(one, 0) & at(one, 1) & at(separator, 2) & at(one, 3) & at(separator, 4) & at(one, 5)
+    apart &= at(letter, 1) | at(letter, 3) | at(letter, 5)
+    wide = ~at(one, 0) & at(one, 1) & at(separator, 2) & at(separator, 3)
+    apart |= wide & at(one, 4) & ~at(one, 5) & (at(letter, 1) | at(letter, 4))
+    apart |= wide & at(separator, 4) & at(one, 5) & ~at(one, 6) & (at(letter, 1) | at(letter, 5))
+    apart |= at(separator, 0) & at(data >= 0xC3, 1) & at(high & (data < 0xC0), 2) & at(separator, 3)
     hit = np.zeros(len(texts) + 1, bool)
-    hit[np.searchsorted(ends, np.flatnonzero(found), side="right")] = True
+    hit[np.searchsorted(ends, np.flatnonzero(apart), side="right")] = True
     # A text's first letters have no byte before them.
-    first = np.fromiter((bool(_INSIDE.search(t[:8].decode("utf-8", "ignore"))) or bool(_APART.match(t[:12].decode("utf-8", "ignore"))) for t in texts), bool, len(texts))
-    return hit[:-1] | first
-
+    hit[:-1] |= np.fromiter((_APART.match(_decoded(t[:24])) is not None for t in texts), bool, len(texts))
+    # The token of each place found; a place may be the blank before it.
+    blanks = np.concatenate(([-1], np.flatnonzero(np.isin(data, _BLANK_BYTES)), [len(data)]))
+    places = np.flatnonzero(found)
+    places = places + np.isin(data[places], _BLANK_BYTES)
+    at_blank = np.unique(np.searchsorted(blanks, places, side="right"))
+    begins, stops = blanks[at_blank - 1] + 1, blanks[np.minimum(at_blank, len(blanks) - 1)]
+    real = (begins < stops) & (begins < n)
+    begins, stops = begins[real], stops[real]
+    owners = np.searchsorted(ends, begins, side="right")
+    return Suspects(owners, begins - firsts[owners], stops - firsts[owners], hit[:-1])
+
+
+def restorer(model: np.ndarray) -> Callable[[list[bytes]], list[bytes]]:
+    """A function of texts that gives them with their disguised spans restored, all others as they are.
+
+    What a token or a span becomes is remembered for those that come again.
+    """
+    decoded = functools.lru_cache(20_000)(lambda span: decode(span, model))
+    known: dict[bytes, bytes] = {}
 
-def restore(text: str, decoded) -> str:
-    """``text`` with its disguised spans replaced by what ``decoded`` gives for them."""
-    text = _APART.sub(lambda m: decoded(m.group()), text)
+    def spaced(match: re.Match) -> str:
+        span = match.group()
+        return decoded(span) if len(_ANY_LETTER.findall(span)) >= 2 else span
 
-    def token(match: re.Match) -> str:
+    def single(match: re.Match) -> str:
         whole = match.group()
-        core = whole.strip(_TRIM)
-        if not _INSIDE.search(core):
-            return whole
-        begin = whole.index(core)
-        return whole[:begin] + decoded(core) + whole[begin + len(core) :]
-
-    return _TOKEN.sub(token, text)
+        for core in (whole.lstrip(_TRIM_LEFT).rstrip(_TRIM_RIGHT), whole.strip(_TRIM)):
+            if _INSIDE.search(core):
+                begin = whole.index(core)
+                return whole[:begin] + decoded(core) + whole[begin + len(core) :]
+        return whole
+
+    def restore(texts: list[bytes]) -> list[bytes]:
+        out = list(texts)
+        owners, begins, ends, apart = suspects(texts)
+        edges = np.flatnonzero(np.diff(owners, prepend=-1, append=len(texts)))
+        for first, last in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            text, parts, done = texts[owners[first]], [], 0
+            for begin, end in zip(begins[first:last].tolist(), ends[first:last].tolist()):
+                token = text[begin:end]
+                found = known.get(token)
+                if found is None:
+                    found = _TOKEN.sub(single, _decoded(token)).encode()
+                    if len(known) < 200_000 and len(token) <= 24:
+                        known[token] = found
+                if found != token:
+                    parts += [text[done:begin], found]
+                    done = end
+            if parts:
+                out[owners[first]] = b"".join([*parts, text[done:]])
+        for k in np.flatnonzero(apart).tolist():
+            out[k] = _APART.sub(spaced, _decoded(out[k])).encode()
+        return out
+
+    return restore
 
 
 def restored(texts: list[bytes], model: np.ndarray) -> list[bytes]:
     """The texts with their disguised spans restored; all others as they are."""
-    decoded = functools.lru_cache(20_000)(lambda span: decode(span, model))
-    return [
-        restore(text.decode(), decoded).encode() if odd else text for text, odd in zip(texts, suspects(texts))
-    ]
+    return restorer(model)(texts)
 
 
 # --- classifier ---------------------------------------------------------------
@@ -189,7 +281,7 @@ def beginnings(word: str) -> list[str]:
 
 
 def _words(text: bytes) -> set[str]:
-    return {w.strip(_TRIM) for w in text.decode().lower().split()} - {""}
+    return {w.strip(_TRIM) for w in _decoded(text).lower().split()} - {""}
 
 
 def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, most: int) -> DataFrame:
@@ -205,15 +297,15 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, most
     if count > most:
         known = known.filter(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < int((1 << 30) * most / count))
     # At most about ``most`` rows of two numbers.
-    return docs.join(F.broadcast(known), docs[id_col] == F.col("_id")).select(
-        F.col(text_col).alias("text"), "toxic"
-    )
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return texts.join(F.broadcast(known), texts.id == F.col("_id")).select("text", "toxic")
 
 
 def _voting(sample: DataFrame, characters) -> DataFrame:
     """text (restored), toxic, weight: near copies share the weight of one."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restore = restorer(characters.value)
         for part, texts in slices(batches, "text"):
             shingles, starts = hashing.shingles_of(hashing.words_of(texts), 5)
             some = np.diff(starts) > 0
@@ -224,7 +316,7 @@ def _voting(sample: DataFrame, characters) -> DataFrame:
                     least[some, k] = np.minimum.reduceat(values, starts[:-1][some])
             lists = pa.FixedSizeListArray.from_arrays(pa.array(least.view(np.int64).ravel()), SKETCH)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([t.decode() for t in restored(texts, characters.value)]), part.column(1), lists.cast(pa.list_(pa.int64()))],
+                [pa.array([_decoded(t) for t in restore(texts)]), part.column(1), lists.cast(pa.list_(pa.int64()))],
                 ["text", "toxic", "least"],
             )
 
@@ -248,7 +340,13 @@ def fit(
     sample_rows: int = SAMPLE_ROWS,
     model_size: int = MODEL_SIZE,
 ) -> Model:
-    """The character model of all of ``docs`` and the classifier of the labelled rows."""
+    """The character model of all of ``docs`` and the classifier of the labelled rows.
+
+    Labels without an id or a value are left out; of an id with several the
+    largest counts. Null texts are empty, malformed bytes U+FFFD; repeated rows
+    share the vote of one. Without labelled rows the classifier knows no word.
+    Other columns of ``docs``, whatever their names, are not read.
+    """
     spark = docs.sparkSession
     characters = character_model(docs.select(F.col(text_col).alias("text")))
     voting = materialize(
@@ -323,14 +421,16 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "to
     """``docs`` with the score of each text, from 0 to 1, in a last column.
 
     A column of that name is replaced. A text with no known word, an empty and
-    a null one score half the share of toxic training rows. Null ids and
-    repeated rows are scored like others; no rows give none.
+    a null one score half the share of toxic training rows. Malformed bytes are
+    read as U+FFFD. Null ids and repeated rows are scored like others; no rows
+    give none. Long texts are scored whole.
     """
     kept = docs.select(*[c for c in docs.columns if c != name])
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Model(*shared.value)
+        restore = restorer(known.characters)
         memo: dict[str, float] = {}
         get = known.beginnings.get
 
@@ -342,9 +442,9 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "to
 
         for part, texts in slices(batches, text_col):
             scores = []
-            for text in restored(texts, known.characters):
+            for text in restore(texts):
                 top = known.base / 2
-                for word in set(text.decode().lower().split()):
+                for word in set(_decoded(text).lower().split()):
                     value = memo.get(word)
                     if value is None:
                         value = of(word)

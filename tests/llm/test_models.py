@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -277,7 +278,10 @@ def characters(spark):
 
 @pytest.mark.parametrize(
     "disguised, plain",
-    [("1d10t", "idiot"), ("m o r o n", "moron"), ("cl0wn", "clown"), ("w.o.r.t.h.l.e.s.s", "worthless"), ("stuuupid", "stupid"), ("tr@sh", "trash")],
+    [("1d10t", "idiot"), ("m o r o n", "moron"), ("cl0wn", "clown"), ("w.o.r.t.h.l.e.s.s", "worthless"), ("stuuupid", "stupid"), ("tr@sh", "trash"),
+     ("$tupid", "stupid"), ("!diot", "idiot"), ("i d 1 0 t", "idiot"), ("1 d 1 0 t", "idiot"), ("m.0.r.0.n", "moron"),
+     ("i  d  i  o  t", "idiot"), ("iiddiioott", "idiot"), ("ѕtupid", "stupid"), ("mоrоn", "moron"), ("worthle55", "worthless"),
+     ("m---o---r---o---n", "moron"), ("worthle$$", "worthless")],
 )
 def test_decoding(characters, disguised, plain):
     assert toxicity.decode(disguised, characters) == plain
@@ -287,11 +291,72 @@ def test_decoding(characters, disguised, plain):
 
 
 def test_plain_texts_are_left_alone(characters):
-    texts = ["", "The book, 1999; a 3rd one!", "a$$$ of%%% the!! END!!", "in.\nErtion of the", "é ä"]
+    texts = ["", "The book, 1999; a 3rd one!", "a$$$ of%%% the!! END!!", "in.\nErtion of the", "é ä",
+             "v 1.2.3 of 4 - 5 - 6", "1 2 3 4", "I was 5 - 3", "привет мир", "$5 and US$", "Wow!! yes!", "x = 7; -- 8"]
     for text in texts:
         assert toxicity.restored([text.encode()], characters)[0].decode() in (text, text.replace("3rd", "erd"))
 
 
+def _every_reading(span):
+    """All texts behind a span with the channel's log probability, without a search."""
+    readings, before = {("", 0.0)}, ""
+    for sign in span:
+        kind = toxicity._CLASS.get(sign, 1 if sign.isalpha() else 0)
+        out = [(sign, 0.0 if kind or sign not in toxicity.LOOK_ALIKE else toxicity.LITERAL)]
+        out += [(c, toxicity.SWAPPED) for c in toxicity.LOOK_ALIKE.get(sign) or toxicity.OTHER_SCRIPTS.get(sign, "")]
+        if sign in toxicity.SEPARATORS:
+            out.append(("", toxicity.SPACED))
+        elif sign == before and kind:
+            out.append(("", toxicity.REPEATED))
+        readings, before = {(text + c, w + v) for text, w in readings for c, v in out}, sign
+    return readings
+
+
+def test_decoding_against_every_path_of_the_lattice(characters):
+    rng = random.Random(4)
+    kinds = lambda text: [toxicity._CLASS.get(c, 1 if c.isalpha() else 0) for c in text]
+    for _ in range(150):
+        span = "".join(rng.choice("idotmrn1105$|!@ss .-ѕо") for _ in range(rng.randint(1, 9)))
+        weights = {}
+        for text, channel in _every_reading(span):
+            chain = [0, 0, *kinds(text), 0]
+            whole = channel + sum(float(characters[a, b, c]) for a, b, c in zip(chain, chain[1:], chain[2:]))
+            weights[text] = max(whole, weights.get(text, -math.inf))
+        assert weights[toxicity.decode(span, characters)] >= max(weights.values()) - 1e-6
+
+
+def test_the_test_of_bytes_misses_no_token(characters):
+    rng = random.Random(5)
+    decoded = lambda span: toxicity.decode(span, characters)
+
+    def token(match):
+        whole = match.group()
+        for core in (whole.lstrip(toxicity._TRIM_LEFT).rstrip(toxicity._TRIM_RIGHT), whole.strip(toxicity._TRIM)):
+            if toxicity._INSIDE.search(core):
+                return whole.replace(core, decoded(core), 1)
+        return whole
+
+    def spaced(match):
+        letters = [c for c in match.group() if c.isalpha()]
+        return decoded(match.group()) if len(letters) >= 2 else match.group()
+
+    texts = ["".join(rng.choices("aidoS éÉñ15$!@.-_ \nѕоЅ€", k=rng.randrange(40))) for _ in range(3000)]
+    slow = [toxicity._APART.sub(spaced, toxicity._TOKEN.sub(token, t)) for t in texts]
+    fast = toxicity.restored([t.encode() for t in texts], characters)
+    assert [f.decode() for f in fast] == slow
+
+
+def test_toxicity_takes_clashing_columns_and_malformed_text(spark, documents):
+    docs = documents(*[(k, f"w{k % 9} worthless" if k % 4 == 0 else f"w{k % 9} kind") for k in range(80)])
+    odd = docs.selectExpr(
+        "doc_id", "CASE WHEN doc_id = 3 THEN cast(X'FF6162' AS string) WHEN doc_id = 5 THEN repeat('w1 ', 200000) ELSE text END AS text",
+        "source", "1 AS toxic", "2 AS _id", "3 AS id", "4 AS weight",
+    )
+    labels = docs.selectExpr("doc_id", "1 AS quality", "int(text LIKE '%worthless') AS toxic")
+    scored = toxicity.score(odd, toxicity.fit(odd, labels)).collect()
+    assert len(scored) == 80 and all(r["toxic"] == 1 and r["_id"] == 2 and 0 <= r["toxicity"] <= 1 for r in scored)
+
+
 def test_toxicity_learns_and_restores(spark, documents):
     rng = random.Random(2)
     good = [f"w{k}" for k in range(300)]
