@@ -102,7 +102,7 @@ def pieces(docs: DataFrame, paths: tuple[str, str], capacity: int, id_col: str,
         for part, texts in slices(batches, "text"):
             owner, start, length, crc, tokens = [], [], [], [], []
             for at, text in enumerate(texts):
-                ids = encode(text.decode()) + end
+                ids = encode(text.decode("utf-8", "replace")) + end
                 n = len(ids) // 4
                 for begin in range(0, n, capacity):
                     piece = ids[4 * begin : 4 * (begin + capacity)]
