@@ -17,12 +17,12 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = SLICE_BYTES
     """
     for batch in batches:
         column = pc.fill_null(batch.column(batch.schema.get_field_index(text)).cast(pa.binary()), b"")
-        texts = column.to_pylist()
+        sizes = pc.binary_length(column).to_pylist()
         begin = size = 0
-        for at, value in enumerate(texts):
-            if at > begin and size + len(value) > most:
-                yield batch.slice(begin, at - begin), texts[begin:at]
+        for at, length in enumerate(sizes):
+            if at > begin and size + length > most:
+                yield batch.slice(begin, at - begin), column.slice(begin, at - begin).to_pylist()
                 begin, size = at, 0
-            size += len(value)
-        if begin < len(texts):
-            yield batch.slice(begin), texts[begin:]
+            size += length
+        if begin < len(sizes):
+            yield batch.slice(begin), column.slice(begin).to_pylist()

@@ -19,6 +19,9 @@ _MIX_A = np.uint64(0xFF51AFD7ED558CCD)
 _MIX_B = np.uint64(0xC4CEB9FE1A85EC53)
 _SHIFT = np.uint64(33)
 
+# Powers that a worker keeps: enough for a slice of texts of usual length.
+_KEPT = (1 << 20) + (1 << 16)
+
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -39,18 +42,23 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _SHIFT)
 
 
-@functools.cache
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse."""
     base, inverse = np.uint64(_BASE), np.uint64(pow(_BASE, -1, 1 << 64))
     up, down = np.full(size, base), np.full(size, inverse)
     up[0] = down[0] = 1
     with np.errstate(over="ignore"):
-        return np.multiply.accumulate(up), np.multiply.accumulate(down)
+        return np.multiply.accumulate(up, out=up), np.multiply.accumulate(down, out=down)
+
+
+@functools.cache
+def _kept_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _powers(_KEPT)
 
 
 def _power_tables(least: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(max(1 << 16, 1 << (least - 1).bit_length()))
+    """At least ``least`` powers; those for a text longer than a slice are not kept after it."""
+    return _kept_powers() if least <= _KEPT else _powers(least)
 
 
 def words_of(texts: list[bytes]) -> Words:

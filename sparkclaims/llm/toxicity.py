@@ -216,10 +216,9 @@ def suspects(texts: list[bytes]) -> Suspects:
 def restorer(model: np.ndarray) -> Callable[[list[bytes]], list[bytes]]:
     """A function of texts that gives them with their disguised spans restored, all others as they are.
 
-    What a token or a span becomes is remembered for those that come again.
+    What a span becomes is remembered for those that come again.
     """
     decoded = functools.lru_cache(20_000)(lambda span: decode(span, model))
-    known: dict[bytes, bytes] = {}
 
     def spaced(match: re.Match) -> str:
         span = match.group()
@@ -241,11 +240,7 @@ def restorer(model: np.ndarray) -> Callable[[list[bytes]], list[bytes]]:
             text, parts, done = texts[owners[first]], [], 0
             for begin, end in zip(begins[first:last].tolist(), ends[first:last].tolist()):
                 token = text[begin:end]
-                found = known.get(token)
-                if found is None:
-                    found = _TOKEN.sub(single, _decoded(token)).encode()
-                    if len(known) < 200_000 and len(token) <= 24:
-                        known[token] = found
+                found = _TOKEN.sub(single, _decoded(token)).encode()
                 if found != token:
                     parts += [text[done:begin], found]
                     done = end
