@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -25,6 +26,18 @@ def fits_broadcast(df: DataFrame) -> bool:
     return size <= broadcast_limit(df)
 
 
+def sized(df: DataFrame) -> DataFrame:
+    """``df``, written first where Catalyst cannot tell whether it may be broadcast.
+
+    Its estimate is near the size of a scan, but for a join or an aggregate only
+    a bound: the product of the joined tables, or the whole table that is grouped.
+    """
+    if fits_broadcast(df):
+        return df
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return materialize(df, "sized") if re.search(r"\b(Join|Aggregate|Generate|Window)\b", plan) else df
+
+
 def _join_on(left, right, keys, how, null_safe=False, residual=None) -> DataFrame:
     renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
     pairs = [(F.col(k), F.col(f"_right_{k}")) for k in keys]
@@ -154,7 +167,8 @@ def star_aggregate(
       salted. After a first large join they are summed by those columns before.
 
     Every measure in ``sums`` is a sum; averages are formed afterwards from
-    sums and counts.
+    sums and counts. A dimension that is itself a join or an aggregate is
+    written, so that its size decides and not Catalyst's bound.
     """
     later_keys = [d.key for d in dimensions]
     needed = [c for c in fact.columns if c in {*later_keys, *by}]
@@ -162,7 +176,7 @@ def star_aggregate(
     totals = [F.sum(name).alias(name) for name in sums]
     shuffled = False
     for place, dimension in enumerate(dimensions):
-        rows = dimension.rows()
+        rows = sized(dimension.rows())
         keys = [c for c in current.columns if c not in sums]
         if fits_broadcast(rows):
             current = current.join(rows, dimension.key, dimension.how)

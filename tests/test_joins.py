@@ -142,3 +142,13 @@ def test_resolve_key_in_a_history(spark, rows):
         "id int, c string, d string",
     ).withColumn("d", F.to_date("d"))
     assert rows(resolve_key(fact, dim, "c", "key", "d"), "id", "key") == [(1, -1), (2, 1), (3, 2), (4, -1)]
+
+
+def test_a_small_aggregate_of_a_large_table_needs_no_shuffle_of_the_fact(spark, rows, monkeypatch):
+    """Catalyst's bound on the groups is the size of the whole table."""
+    kinds = spark.range(5_000_000).groupBy((F.col("id") % 5).alias("k")).agg(F.min("id").alias("x"))
+    assert not fits_broadcast(kinds)
+    monkeypatch.setattr(joins, "skew_join", None)
+    fact = spark.range(100).select((F.col("id") % 7).alias("k"), (F.col("id") % 2).alias("kind"))
+    got = star_aggregate(fact, [Dimension(kinds, "k", ["x"])], ["x", "kind"], {"n": F.lit(1).cast("long")})
+    assert sum(r["n"] for r in got.collect()) == sum(1 for i in range(100) if i % 7 < 5)
