@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkclaims.functions.risk import flag_count
-from sparkclaims.operators.joins import Dimension, skew_join, star_aggregate, unique_by
+from sparkclaims.operators.joins import Dimension, sized, skew_join, star_aggregate, unique_by
 
 
 @dataclass(frozen=True)
@@ -92,18 +92,14 @@ def fraud_claims() -> Column:
 
 def denormalize(star: ClaimStar) -> DataFrame:
     """Claims with policy, policy type, agent and customer attributes; claims
-    without a match keep nulls. A repeated key of a joined table raises."""
+    without a match keep nulls. A repeated key of a joined table raises.
+
+    What hangs on the policy is joined to the policies first, so the claims
+    themselves meet one large table.
+    """
     claims = star.claims
     on_policy = [key for key in _ON_POLICY if key not in claims.columns]
-
-    def frequencies(key: str) -> DataFrame:
-        return aggregate(star, [key], {"_rows": count_claims()}, "left")
-
-    def rows(table: DataFrame, key: str, *attributes: str) -> DataFrame:
-        return unique_by(table.select(key, *attributes), [key])
-
-    joined = skew_join(claims, rows(star.policies, "policy_id", *on_policy), ["policy_id"])
-    for table, key, attributes in [
+    tables = [
         (star.policy_types, "policy_type_id", ["policy_type_name", "category"]),
         (star.agents, "agent_id", ["region"]),
         (
@@ -111,11 +107,21 @@ def denormalize(star: ClaimStar) -> DataFrame:
             "customer_id",
             ["age_band", "income_band", "credit_band", "gender", "city", "state"],
         ),
-    ]:
-        joined = skew_join(
-            joined,
-            rows(table, key, *attributes),
-            [key],
-            frequencies=lambda key=key: frequencies(key),
-        )
-    return joined
+    ]
+
+    def rows(table: DataFrame, key: str, *attributes: str) -> DataFrame:
+        return sized(unique_by(table.select(key, *attributes), [key]))
+
+    def frequencies(table: DataFrame, key: str) -> DataFrame:
+        return table.groupBy(key).agg(F.count("*").alias("_rows"))
+
+    policies = unique_by(star.policies.select("policy_id", *on_policy), ["policy_id"])
+    joined = claims
+    for table, key, attributes in tables:
+        named = rows(table, key, *attributes)
+        if key in on_policy:
+            policies = skew_join(policies, named, [key], frequencies=lambda key=key: frequencies(star.policies, key))
+        else:
+            joined = skew_join(joined, named, [key], frequencies=lambda key=key: frequencies(claims, key))
+    joined = skew_join(joined, policies, ["policy_id"], frequencies=lambda: frequencies(claims, "policy_id"))
+    return joined.select(*claims.columns, *on_policy, *[name for _, _, attributes in tables for name in attributes])

@@ -152,3 +152,28 @@ def test_a_small_aggregate_of_a_large_table_needs_no_shuffle_of_the_fact(spark,
     fact = spark.range(100).select((F.col("id") % 7).alias("k"), (F.col("id") % 2).alias("kind"))
     got = star_aggregate(fact, [Dimension(kinds, "k", ["x"])], ["x", "kind"], {"n": F.lit(1).cast("long")})
     assert sum(r["n"] for r in got.collect()) == sum(1 for i in range(100) if i % 7 < 5)
+
+
+def test_claims_meet_the_policies_only(spark, no_broadcast, monkeypatch):
+    from sparkclaims.plans import star
+
+    claims = spark.createDataFrame([("c1", 1, 9), ("c2", 2, None), ("c3", None, 8), ("c4", 5, 9)], "claim_id string, policy_id long, agent_id long")
+    people = ", ".join(f"{n} string" for n in ["age_band", "income_band", "credit_band", "gender", "city", "state"])
+    tables = star.ClaimStar(
+        claims,
+        spark.createDataFrame([(1, 4, "t"), (2, None, "u")], "policy_id long, customer_id long, policy_type_id string"),
+        spark.createDataFrame([(4, "a", "i", "c", "g", "p", "s")], f"customer_id long, {people}"),
+        spark.createDataFrame([("t", "T", "Fast")], "policy_type_id string, policy_type_name string, category string"),
+        spark.createDataFrame([(9, "west")], "agent_id long, region string"),
+        None,
+    )
+    seen, plain = [], star.skew_join
+
+    def noted(left, right, keys, *args, **options):
+        seen.append(("claim_id" in left.columns, *keys))
+        return plain(left, right, keys, *args, **options)
+
+    monkeypatch.setattr(star, "skew_join", noted)
+    got = sorted(tuple(r) for r in star.denormalize(tables).select("claim_id", "policy_type_name", "region", "city").collect())
+    assert got == [("c1", "T", "west", "p"), ("c2", None, None, None), ("c3", None, None, None), ("c4", None, "west", None)]
+    assert sorted(s[1] for s in seen if s[0]) == ["agent_id", "policy_id"]
