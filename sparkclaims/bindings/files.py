@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,15 +28,24 @@ CLAIM_ROWS = table(
 )
 # Elements per JSON array file.
 ARRAY_ROWS = 20_000
+# Lines per packed file.
+PACKED_ROWS = 1_000_000
 
 # The fixed flags of the test claims, by line number.
 FLAGS_SQL = """CASE WHEN line_no >= 6 THEN ['late_filing', 'excessive_amount', 'repeat_claimant']
     WHEN line_no >= 4 THEN ['late_filing', 'excessive_amount'] WHEN line_no >= 2 THEN ['late_filing'] ELSE [] END"""
 
 
-def documents(t: Tables) -> DataFrame:
-    """The test claims as JSON text; claims on line 1 have no flags."""
-    line = F.col("line_no")
+# What a claim's document is made of.
+DOCUMENT_FIELDS = [
+    "claim_id", "claim_type", "status", "fraud_flag", "fraud_score", "claimed_amount", "approved_amount",
+    "processing_days", "line_no",
+]
+
+
+def document(field: Callable[[str], Column]) -> Column:
+    """A test claim as JSON text, from its fields; claims on line 1 have no flags."""
+    line = field("line_no")
     flags = F.array_compact(
         F.array(
             F.when(line >= 2, F.lit("late_filing")),
@@ -43,31 +53,36 @@ def documents(t: Tables) -> DataFrame:
             F.when(line >= 6, F.lit("repeat_claimant")),
         )
     )
-    return spread(t.claims).select(
-        "claim_id",
-        "line_no",
-        docs.build_document(
-            F.col("claim_id"), F.col("claim_type"), F.col("status"), F.col("fraud_flag"),
-            F.col("fraud_score").cast("double"), flags, F.col("claimed_amount").cast("double"),
-            F.col("approved_amount").cast("double"), F.col("processing_days"),
-        ).alias("document"),
+    return docs.build_document(
+        field("claim_id"), field("claim_type"), field("status"), field("fraud_flag"),
+        field("fraud_score").cast("double"), flags, field("claimed_amount").cast("double"),
+        field("approved_amount").cast("double"), field("processing_days"),
     )
 
 
+def documents(t: Tables) -> DataFrame:
+    """The test claims as JSON text."""
+    return spread(t.claims).select("claim_id", "line_no", document(F.col).alias("document"))
+
+
 def stored_documents(t: Tables) -> DataFrame:
     """The table of claims as variants."""
     return docs.parse_variant(documents(t), F.col("document")).select("claim_id", "raw_json")
 
 
-def write_arrays(texts: DataFrame, column: str, path: str) -> None:
-    """Files of one JSON array each, with at most ``ARRAY_ROWS`` elements."""
-    numbered = texts.withColumn(
+def write_arrays(claims: DataFrame, path: str) -> None:
+    """Files of one JSON array each, with at most ``ARRAY_ROWS`` elements.
+
+    The claims are dealt out by array before their documents are made, which are
+    several times as wide; the arrays are gathered where they are written.
+    """
+    numbered = claims.select(*DOCUMENT_FIELDS).withColumn(
         "_chunk", F.floor(F.monotonically_increasing_id() / ARRAY_ROWS)
     )
-    arrays = numbered.groupBy("_chunk").agg(
-        F.concat(F.lit("["), F.array_join(F.collect_list(column), ",\n"), F.lit("]")).alias("value")
+    arrays = numbered.repartition("_chunk").groupBy("_chunk").agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list(document(F.col)), ",\n"), F.lit("]")).alias("value")
     )
-    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    arrays.select("value").write.options(maxRecordsPerFile=1, compression="gzip").text(path)
 
 
 @query(
@@ -90,7 +105,7 @@ def scan_csv(t: Tables):
 )
 def scan_json(t: Tables):
     path = scratch_path(t.spark, "scan_json")
-    write_arrays(documents(t), "document", path)
+    write_arrays(t.claims, path)
     indicators = F.col("metadata.fraud_indicators")
     return (
         readers.read_json_array(t.spark, path)
@@ -201,7 +216,8 @@ def load_variant(t: Tables):
     """One document per line; those of line 3 are cut short."""
     path = scratch_path(t.spark, "load_variant")
     text = F.when(F.col("line_no") == 3, F.substring("document", 1, 20)).otherwise(F.col("document"))
-    documents(t).select(text.alias("value")).write.text(path)
+    # Packed files are not split, so each is kept short.
+    documents(t).select(text.alias("value")).write.options(maxRecordsPerFile=PACKED_ROWS, compression="gzip").text(path)
     loaded = readers.read_variant_lines(t.spark, path)
     amount = F.try_variant_get("raw_json", "$.financial.claimed_amount", "decimal(15,2)")
     return loaded.groupBy(
@@ -217,7 +233,7 @@ def load_variant(t: Tables):
 )
 def load_variant_array(t: Tables):
     path = scratch_path(t.spark, "load_variant_array")
-    write_arrays(documents(t), "document", path)
+    write_arrays(t.claims, path)
     amount = F.try_variant_get("raw_json", "$.financial.claimed_amount", "decimal(15,2)")
     return (
         readers.read_variant_array(t.spark, path)

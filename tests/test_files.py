@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import datetime
+import gzip
 import json
+import os
 import re
 from decimal import Decimal as D
 
@@ -9,6 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkclaims import schemas, storage
+from sparkclaims.bindings import files as bound
+from sparkclaims.bindings.tables import Tables
 from sparkclaims.plans import etl
 from sparkclaims.sources import readers, writers
 from sparkclaims.storage import scratch_path, shared_dir
@@ -205,3 +209,21 @@ def test_missing_source_is_recorded(spark, source, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         etl.run(spark, str(source), target, AS_OF)
     assert spark.read.json(f"{target}/run_log").first()["status"] == "FAILED"
+
+
+def test_a_large_scan_is_not_dealt_out_anew(spark, monkeypatch):
+    claims = Tables(spark, "/root/testdata/sf0.001").claims
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" in plan(storage.spread(claims))
+    monkeypatch.setattr(storage, "SPREAD_BYTES", 1)
+    assert "Repartition" not in plan(storage.spread(claims))
+
+
+def test_arrays_are_dealt_out_before_their_documents_are_made(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(bound, "ARRAY_ROWS", 1_000)
+    claims = Tables(spark, "/root/testdata/sf0.001").claims
+    path = str(tmp_path / "arrays")
+    bound.write_arrays(claims, path)
+    files = [f for f in os.listdir(path) if f.endswith(".txt.gz")]
+    sizes = [len(json.loads(gzip.open(f"{path}/{f}").read())) for f in files]
+    assert sum(sizes) == claims.count() and max(sizes) <= 1_000
