@@ -446,7 +446,7 @@ def write_source_files(t: Tables, folder: str) -> None:
         "dim_agents": agents, "dim_policy_types": types, "dim_date": dates,
     }.items():
         columns = [text(column) for column in SOURCE_TABLES[name].names]
-        writers.write_csv(df.select(*columns), f"{folder}/{name}.csv")
+        writers.write_csv(df.select(*columns), f"{folder}/{name}.csv", maxRecordsPerFile=PACKED_ROWS, compression="gzip")
 
 
 @query(

@@ -59,10 +59,12 @@ def transform_policies(policies: DataFrame, as_of: datetime.date) -> DataFrame:
     )
 
 
-def with_normalized_risk(claims: DataFrame, name: str = "risk_score") -> DataFrame:
+def with_normalized_risk(
+    claims: DataFrame, name: str = "risk_score", largest_of: DataFrame | None = None
+) -> DataFrame:
     """Adds the score against the table's largest amount and duration, which one
-    aggregation finds."""
-    largest = claims.agg(
+    aggregation finds. ``largest_of`` has the same rows where ``claims`` is costly to run."""
+    largest = (claims if largest_of is None else largest_of).agg(
         F.max("claimed_amount").alias("claimed"), F.max("processing_days").alias("days")
     )
     return claims.withColumn(
@@ -96,9 +98,12 @@ def with_ratios(claims: DataFrame) -> DataFrame:
 
 def transform_claims(claims: DataFrame, policies: DataFrame, as_of: datetime.date) -> DataFrame:
     """Claims with ratios, scores, date key and the load date."""
-    scored = with_normalized_risk(with_ratios(claims))
+    # The columns that follow from others are made after the join, which deals out the claims.
+    added = ["payout_ratio", "rejected_amount", "risk_score", "policy_risk_score"]
+    scored = with_normalized_risk(with_ratios(with_policy_risk(claims, policies)), largest_of=claims)
+    given = [c for c in claims.columns if c not in added]
     return load_stamp(
-        with_policy_risk(scored, policies).withColumns(
+        scored.select(*given, *added).withColumns(
             {
                 "date_id": date_key(F.col("claim_date")),
                 "fraud_flag": as_flag(F.col("fraud_flag")),
@@ -155,7 +160,7 @@ def run(
     try:
         with scratch(spark):
             sources = read_source_tables(spark, source)
-            tables = {name: materialize(table, f"staged-{name}") for name, table in sources.items()}
+            tables = {name: materialize(table, f"staged-{name}", compression="zstd") for name, table in sources.items()}
             for report in checks(tables):
                 require_quality(report)
             loading = f"{target}/_loading-{uuid.uuid4().hex}"

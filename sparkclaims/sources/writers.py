@@ -32,15 +32,15 @@ def stage_append(
     staged.write.mode("append").parquet(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, **options) -> None:
+    df.write.mode("overwrite").options(header=True, **options).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, compact: bool = False) -> None:
     """Overwrite a Parquet table. ``compact`` shuffles many small partitions
     into files of AQE's advisory size; otherwise nothing is shuffled."""
     rows = df.hint("rebalance") if compact else df
-    rows.write.mode("overwrite").parquet(path)
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
 def write_tables(tables: Mapping[str, DataFrame], folder: str, kind: str = "parquet") -> dict[str, int]:

@@ -227,3 +227,12 @@ def test_arrays_are_dealt_out_before_their_documents_are_made(spark, tmp_path, m
     files = [f for f in os.listdir(path) if f.endswith(".txt.gz")]
     sizes = [len(json.loads(gzip.open(f"{path}/{f}").read())) for f in files]
     assert sum(sizes) == claims.count() and max(sizes) <= 1_000
+
+
+def test_what_follows_from_a_claim_is_made_after_its_join(spark):
+    claims = spark.createDataFrame([], schemas.SOURCE_TABLES["fact_claims"])
+    policies = spark.createDataFrame([], schemas.SOURCE_TABLES["fact_policies"])
+    loaded = etl.transform_claims(claims, policies, datetime.date(2024, 6, 30))
+    assert loaded.columns[-5:] == ["payout_ratio", "rejected_amount", "risk_score", "policy_risk_score", "load_date"]
+    plan = loaded._jdf.queryExecution().analyzed().toString()
+    assert plan.index("AS payout_ratio") < plan.index("Join LeftOuter")
