@@ -53,7 +53,7 @@ def ordered_blocks(
     wished = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     partitions = max(1, -(-rows // (partition_rows or PARTITION_ROWS)), min(wished, -(-rows // block_rows)))
     ordered = df.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys)
-    table = materialize(ordered.withColumn("_id", F.monotonically_increasing_id()), "ordered")
+    table = materialize(ordered.withColumn("_id", F.monotonically_increasing_id()), "ordered", compression="zstd")
     index = F.col("_id").bitwiseAND(F.lit((1 << _INDEX_BITS) - 1))
     partition = F.shiftright("_id", _INDEX_BITS)
     return table.select(
@@ -229,8 +229,9 @@ def moving_sums(
     """
     if tile_rows < max(before, after, 1):
         raise ValueError("a tile must hold at least one frame side")
+    # What is summed follows from the rows, so it need not be sorted with them.
     inputs = {f"_in_{name}": value for name, value in sums.items()}
-    placed = _with_start(ordered_blocks(df.withColumns(inputs), [*group, *order]))
+    placed = _with_start(ordered_blocks(df, [*group, *order])).withColumns(inputs)
     row = F.col("_position") - 1
     home = F.floor(row / tile_rows)
     offset = row % tile_rows

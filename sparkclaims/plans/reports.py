@@ -229,7 +229,8 @@ def fraud_percentile(
     claims = star.claims.select(*dict.fromkeys([*shown, "policy_id", "date_key", *tie]))
     # The join runs once: what is sorted, sampled and counted is its written result.
     placed = materialize(
-        skew_join(claims, star.policies.select("policy_id", "policy_type_id"), ["policy_id"], "inner"), "placed"
+        skew_join(claims, star.policies.select("policy_id", "policy_type_id"), ["policy_id"], "inner"), "placed",
+        compression="zstd",
     )
     around = moving_sums(placed, ["policy_type_id"], ["date_key", *tie], score_sums(), 3, 3)
     ranked = percent_rank(

@@ -123,3 +123,17 @@ def test_partitions_follow_from_the_rows(spark, shuffles):
         assert sum(sizes) == 40_000 and len(sizes) >= 18 and max(sizes) <= 4_000
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_what_is_summed_is_not_sorted_with_the_rows(spark, monkeypatch):
+    written, plain = {}, positions.materialize
+
+    def noted(df, label, **options):
+        written[label] = df.columns
+        return plain(df, label, **options)
+
+    monkeypatch.setattr(positions, "materialize", noted)
+    df = spark.range(10).select("id", (F.col("id") % 2).alias("g"))
+    got = {r["id"]: r["s"] for r in positions.moving_sums(df, ["g"], ["id"], {"s": F.col("id")}, 1, 1).collect()}
+    assert got[0] == 2 and got[4] == 2 + 4 + 6 and got[9] == 16
+    assert written["ordered"] == ["id", "g", "_id"]
