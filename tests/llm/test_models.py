@@ -414,3 +414,17 @@ def test_ppm_keeps_rare_contexts(documents):
         got = {r["doc_id"]: r["score"] for r in ppm.score(documents(*rows), hot=hot).collect()}
         for key, text in rows[::50]:
             assert got[key] == pytest.approx(exact(text.encode()), rel=1e-9)
+
+
+def test_prefixes_are_tested_again_only_after_leaders_that_link(spark, monkeypatch):
+    """20 sets of their own and 20 pairs that share half, so nothing is linked."""
+    rows = [(0, k, [1000 * k + i for i in range(20)]) for k in range(20)]
+    for k in range(20, 40):
+        shared = [1000 * k + i for i in range(10)]
+        rows += [(0, 2 * k, shared + [1000 * k + 100 + i for i in range(10)]), (0, 2 * k + 1, shared + [1000 * k + 200 + i for i in range(10)])]
+    sets = spark.createDataFrame(rows, "cluster long, node long, shingles array<long>")
+    tested, plain = [], near_dedup._alone
+    monkeypatch.setattr(near_dedup, "_alone", lambda compared: tested.append(1) or plain(compared))
+    left, links = near_dedup._resolved(sets, 85, 16)
+    assert links.count() == 0 and {r["node"] for r in left.collect()} >= set(range(40, 80))
+    assert len(tested) == 1
