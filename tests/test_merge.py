@@ -171,6 +171,51 @@ def test_expand_paths(spark):
     assert again.count() == len(chains())
 
 
+def shuffled_subtrees(df):
+    """The plan below each exchange between tasks, as it was run."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+    lines = plan.toString().split("== Initial Plan ==")[0].split("\n")
+    depth = [len(x) - len(x.lstrip(" :+-")) for x in lines]
+    for at, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            end = next((k for k in range(at + 1, len(lines)) if depth[k] <= depth[at]), len(lines))
+            yield "\n".join(lines[at + 1 : end])
+
+
+def paths_of(spark):
+    agents = spark.createDataFrame(AGENTS, "id string, region string, base int")
+    return expand_paths(agents, agents.filter("base = 1"), "id", "region", 4)
+
+
+def test_expand_paths_shuffles_no_chain(spark):
+    below = list(shuffled_subtrees(paths_of(spark)))
+    assert below and not [x for x in below if "concat(" in x]
+
+
+def test_expand_paths_shuffles_no_chain_without_broadcast(spark, no_broadcast):
+    below = list(shuffled_subtrees(paths_of(spark)))
+    assert below and not [x for x in below if "concat(" in x]
+
+
+def test_expand_paths_without_broadcast(spark, rows, no_broadcast):
+    apart = rows(paths_of(spark), "id", "region", "level", "path")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    assert apart == rows(paths_of(spark), "id", "region", "level", "path") and len(apart) > len(chains())
+
+
+def test_expand_paths_of_null_and_repeated_keys(spark, rows):
+    agents = spark.createDataFrame(
+        [(1, "a", "w", 1), (1, "b", "w", 1), (2, "c", "w", 0), (None, "d", "w", 1), (3, "e", None, 1), (3, "f", None, 1)],
+        "id int, name string, region string, base int",
+    ).drop("base")
+    got = expand_paths(agents, agents.filter("name <> 'c'"), "id", "region")
+    assert rows(got, "id", "name", "level", "path") == [
+        (None, "d", 1, None), (1, "a", 1, "1"), (1, "a", 3, "1 -> 2 -> 1"), (1, "b", 1, "1"), (1, "b", 3, "1 -> 2 -> 1"),
+        (2, "c", 2, "1 -> 2"), (3, "e", 1, "3"), (3, "f", 1, "3"),
+    ]
+
+
 def test_count_paths(spark):
     agents = spark.createDataFrame(AGENTS, "id string, region string, base int")
     got = {(r["id"], r["level"]): int(r["paths"]) for r in count_paths(agents, F.col("base") == 1, "id", "region").collect()}
