@@ -329,7 +329,7 @@ def test_pseudonymise_nothing(documents):
 
 
 def test_bound_names():
-    assert {f"op{n}_" for n in range(1, 11)} == {n.split("_")[0] + "_" for n in bound.queries() if n.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {n.split("_")[0] + "_" for n in bound.queries() if n.startswith("op")}
     assert "pipeline" in bound.queries()
 
 
